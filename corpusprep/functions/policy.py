@@ -65,6 +65,13 @@ def target_geometry(target_size: int = DEFAULT_TARGET_SIZE) -> tuple[int, int]:
     return short, target_size * short
 
 
+def target_geometry_col(target) -> Column:
+    """P22 for a per-row target: ``struct<short_side, target_pixels>``."""
+    t = _c(target)
+    short = F.ceil(t / 4 * 3).cast("bigint")
+    return F.struct(short.alias("short_side"), (t.cast("bigint") * short).alias("target_pixels"))
+
+
 def resize_policy(w, h, target_size: int = DEFAULT_TARGET_SIZE) -> Column:
     """New ``struct<w, h>``; images over 1.5x the target pixels get a long
     side of ``target_size``, the other side scaled and rounded half-even."""

@@ -416,7 +416,7 @@ def q_assign_batches(spark, sf):
 
 _CHUNK_SQL = """
 SELECT key, src, rn, (rn - 1) // 100 AS chunk FROM (
-  SELECT key, src, row_number() OVER (PARTITION BY substr(key, 1, 3) ORDER BY src) AS rn FROM (
+  SELECT key, src, row_number() OVER (PARTITION BY substr(key, 1, 3) ORDER BY src, key) AS rn FROM (
     SELECT @key(concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-',
       CAST(l_partkey AS STRING))) AS key, l_orderkey * 8 + l_linenumber AS src FROM lineitem) a) b"""
 
@@ -428,7 +428,7 @@ def q_assign_chunks(spark, sf):
                   F.lit("-"), F.col("l_partkey").cast("string"))
     rows = li.select(K.derive_key(rk).alias("key"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("src"))
     rows = rows.withColumn("shard", K.derive_shard("key"))
-    out = row_number_within(rows, ["shard"], ["src"])
+    out = row_number_within(rows, ["shard"], ["src", "key"])
     return out.select("key", "src", "rn", F.floor((F.col("rn") - 1) / 100).cast("bigint").alias("chunk"))
 
 
