@@ -34,4 +34,4 @@ def register(name: str, views=(), sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from corpusprep.plans import queries_core, queries_media  # noqa: F401
+    from corpusprep.plans import queries_core, queries_io, queries_media  # noqa: F401

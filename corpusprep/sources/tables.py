@@ -60,13 +60,17 @@ def read_metadata_shards(spark: SparkSession, path: str, schema: T.StructType |
         .where(K.is_shard_name("shard"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its (Hadoop) file system - a metadata call only."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def read_text_lines(spark: SparkSession, path: str, col: str = "line",
                     with_shard: bool = False) -> DataFrame:
     """Text lines of all files under ``path``; empty result if it is absent."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    if not path_exists(spark, path):
         schema = f"{col} string" + (", shard string" if with_shard else "")
         return spark.createDataFrame([], schema)
     df = spark.read.text(path).withColumnRenamed("value", col)
