@@ -3,49 +3,34 @@
 ``row_number() over (partition by g order by o)`` sends every row of a group
 to one task. When a single group may hold a third of the table (a shard full
 of copies of one URL), that task is the whole job. :func:`row_number_within`
-computes the same numbers without that funnel:
-
-1. range-partition on ``(g, o)`` (a hot group spreads over many partitions)
-   and sort each partition;
-2. number rows locally per partition in Arrow batches (``mapInPandas``),
-   carrying the running count across batches;
-3. summarise each partition in one row (first group, last group, the last
-   group's count, whether the partition holds one group only): a table with
-   at most one row per partition, so its size is bounded by the partition
-   count, not by the data;
-4. turn the summary into a carry per partition (rows of its first group that
-   sit in earlier partitions) with a running sum, and add it back through a
-   broadcast join on the partition id.
-
-Both passes read the same (reused) range shuffle. The partition count is
-explicit, so AQE does not coalesce it between the two reads.
+computes the same numbers without that funnel, all in the JVM:
+
+1. range-partition on ``(g, o)`` - a hot group spreads over many
+   partitions - sort each partition, and tag each row with its partition id
+   and its position in the partition (``monotonically_increasing_id`` is
+   increasing in row order within a partition);
+2. aggregate per ``(partition, g)``: the group's first position there and its
+   row count. Partial aggregation runs map-side, so this table has at most
+   ``#groups + #partitions`` rows, and a hot group contributes one row per
+   partition it spans;
+3. carry = rows of the same group in earlier partitions: a running sum over
+   that table, partitioned by ``g`` (each window partition is bounded by the
+   partition count);
+4. join the table back on ``(partition, g)`` and add: ``rn = position -
+   first position + 1 + carry``. AQE broadcasts the table when its measured
+   size is small; otherwise it is a sort-merge join on ``(partition, g)``,
+   which is itself skew-free because no ``(partition, g)`` pair is larger
+   than one range partition.
+
+The partition count is explicit, so AQE does not coalesce the range shuffle.
+Rows that tie on ``(g, o)`` get distinct but arbitrary numbers, as with
+``row_number``.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _group_change(pdf: pd.DataFrame, gcols: list[str]) -> pd.Series:
-    """True where a row starts a new group relative to the previous row."""
-    change = pd.Series(False, index=pdf.index)
-    for c in gcols:
-        col = pdf[c]
-        prev = col.shift(1)
-        both_null = col.isna() & prev.isna()
-        change |= ~((col == prev) | both_null)
-    return change
-
-
-def _same_key(a: tuple, b: tuple) -> bool:
-    return all((x is None and y is None) or (x == y) for x, y in zip(a, b))
-
-
-def _norm(v):
-    return None if (v is None or (isinstance(v, float) and pd.isna(v))) else v
 
 
 def row_number_within(df: DataFrame, group: list[str], order: list[str],
@@ -56,93 +41,17 @@ def row_number_within(df: DataFrame, group: list[str], order: list[str],
     gcols = list(group)
     sort_cols = gcols + list(order)
     base = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
-        .withColumn("_pid", F.spark_partition_id())
-
-    local_schema = T.StructType(base.schema.fields + [T.StructField("_lrn", T.LongType(), False)])
-
-    def number_locally(batches):
-        prev_key, run = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            change = _group_change(pdf, gcols)
-            first_key = tuple(_norm(pdf[c].iloc[0]) for c in gcols)
-            change.iloc[0] = not (prev_key is not None and _same_key(first_key, prev_key))
-            run_id = change.cumsum()
-            lrn = pdf.groupby(run_id).cumcount().astype("int64")
-            if not change.iloc[0]:
-                lrn[run_id == run_id.iloc[0]] += run
-            pdf = pdf.assign(_lrn=lrn.values)
-            last_run = run_id == run_id.iloc[-1]
-            prev_key = tuple(_norm(pdf[c].iloc[-1]) for c in gcols)
-            run = int(lrn[last_run].iloc[-1]) + 1
-            yield pdf
-
-    gfields = [base.schema[c] for c in gcols]
-    summ_schema = T.StructType(
-        [T.StructField("_pid", T.IntegerType(), False)]
-        + [T.StructField(f"_f_{f.name}", f.dataType, True) for f in gfields]
-        + [T.StructField(f"_l_{f.name}", f.dataType, True) for f in gfields]
-        + [T.StructField("_lcount", T.LongType(), False), T.StructField("_single", T.BooleanType(), False)]
-    )
+        .withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_pos", F.monotonically_increasing_id())
 
-    def summarise(batches):
-        pid, first, last, lcount, single = None, None, None, 0, True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            change = _group_change(pdf, gcols)
-            keys0 = tuple(_norm(pdf[c].iloc[0]) for c in gcols)
-            if first is None:
-                first = keys0
-                change.iloc[0] = False
-            else:
-                change.iloc[0] = not _same_key(keys0, last)
-            if change.any():
-                single = False
-                idx = int(change.values.nonzero()[0][-1])
-                lcount = len(pdf) - idx
-            else:
-                lcount += len(pdf)
-            last = tuple(_norm(pdf[c].iloc[-1]) for c in gcols)
-        if pid is not None:
-            row = {"_pid": pid}
-            for f, v in zip(gfields, first):
-                row[f"_f_{f.name}"] = v
-            for f, v in zip(gfields, last):
-                row[f"_l_{f.name}"] = v
-            row["_lcount"] = lcount
-            row["_single"] = single
-            yield pd.DataFrame([row], columns=[f.name for f in summ_schema.fields])
+    stats = base.groupBy("_pid", *gcols).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0))) \
+        .select(F.col("_pid").alias("_spid"), *[F.col(c).alias(f"_s_{c}") for c in gcols], "_start", "_carry")
 
-    numbered = base.mapInPandas(number_locally, local_schema)
-    # no projection here: both passes must read the *same* range exchange (so it
-    # is reused, sampled once); pruning columns would make it a different one
-    summary = base.mapInPandas(summarise, summ_schema)
-
-    w = Window.orderBy("_pid")  # over the summary: one row per partition
-    upto = Window.unboundedPreceding
-    first_g = F.struct(*[F.col(f"_f_{c}").alias(c) for c in gcols])
-    last_g = F.struct(*[F.col(f"_l_{c}").alias(c) for c in gcols])
-    carry = summary.withColumn("_first_g", first_g).withColumn("_last_g", last_g) \
-        .withColumn("_prev_last", F.lag("_last_g").over(w))
-    # a partition continues the previous run when it holds only the previous
-    # partition's last group; otherwise its last group starts here
-    carry = carry.withColumn("_reset", ~(F.col("_single") & F.coalesce(
-        F.col("_first_g").eqNullSafe(F.col("_prev_last")), F.lit(False))))
-    carry = carry.withColumn("_run", F.sum(F.col("_reset").cast("long")).over(w.rowsBetween(upto, 0)))
-    carry = carry.withColumn("_upto", F.sum("_lcount").over(
-        Window.partitionBy("_run").orderBy("_pid").rowsBetween(upto, 0)))
-    carry = carry.withColumn(
-        "_carry",
-        F.when(F.col("_prev_last").eqNullSafe(F.col("_first_g")), F.lag("_upto").over(w))
-        .otherwise(F.lit(0)).cast("long"),
-    ).select("_pid", "_first_g", "_carry")
-
-    # the summary has one row per partition: a proven bound for a broadcast
-    joined = numbered.join(F.broadcast(carry), "_pid", "left")
-    own_g = F.struct(*[F.col(c).alias(c) for c in gcols])
-    extra = F.when(own_g.eqNullSafe(F.col("_first_g")), F.col("_carry")).otherwise(F.lit(0))
-    return joined.withColumn(name, F.col("_lrn") + 1 + F.coalesce(extra, F.lit(0))) \
-        .drop("_pid", "_lrn", "_first_g", "_carry")
+    cond = F.col("_pid") == F.col("_spid")
+    for c in gcols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    joined = base.join(stats, cond, "inner")
+    return joined.withColumn(name, F.col("_pos") - F.col("_start") + 1 + F.col("_carry")) \
+        .drop("_pid", "_pos", "_spid", "_start", "_carry", *[f"_s_{c}" for c in gcols])
