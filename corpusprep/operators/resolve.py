@@ -128,19 +128,27 @@ def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
     """Samples with no candidate among the members of their shard's archive
     *and* some candidate in the store (anti-join per sample, not per candidate).
 
-    Both joins key on the sample key, so the anti and the semi join share one
-    partitioning of the samples.
+    The decision depends only on ``(key, marker, ext)``: it is made on the
+    distinct triples (copies of a hot key collapse map-side), with the anti
+    and the semi join co-partitioned on the key; one semi-join then returns
+    the answer to every sample (AQE may split a hot key there).
+
+    A member only counts for its own shard's archive. Since a sample's shard
+    is its key's first characters, that is a filter on the members
+    (``shard = substring(key inside the path)``), not a second join key.
     """
     members = archive.select("shard", F.col(name_col).alias("_obj")).where(F.col("_obj").isNotNull()) \
-        .withColumn("_hk", K.key_of_object("_obj")).withColumnRenamed("shard", "_ashard")
-    s = samples.withColumn("_canon", K.canonical_key("key", "marker")) \
-        .withColumn("_alt", K.alternate_key("key", "marker", "ext"))
-    absent = s.join(members, (s.key == members._hk) & (s.shard == members._ashard)
-                    & members._obj.isin(s._canon, s._alt), "left_anti")
+        .withColumn("_hk", K.key_of_object("_obj")) \
+        .where(F.col("shard") == K.derive_shard("_hk")).select("_obj", "_hk")
+    t = _distinct_triples(samples)
+    absent = t.join(members, (t.key == members._hk) & members._obj.isin(t._canon, t._alt), "left_anti")
     lst = _listing(store)
     present = absent.join(lst, (absent.key == lst._hk) & lst._obj.isin(absent._canon, absent._alt),
                           "left_semi")
-    return present.drop("_canon", "_alt")
+    p = present.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"))
+    cond = (F.col("key") == F.col("_rk")) & F.col("marker").eqNullSafe(F.col("_rm")) \
+        & F.col("ext").eqNullSafe(F.col("_re"))
+    return samples.join(p, cond, "left_semi")
 
 
 def shards_with_archive(samples: DataFrame, archive: DataFrame) -> DataFrame:
