@@ -19,7 +19,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from corpusprep.sources.tables import spread_small_input
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def raw_samples(pages: DataFrame) -> DataFrame:

@@ -26,6 +26,23 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         else spark.read.format("jdbc").options(**options).load()
 
 
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A Parquet row group is never split, so a small table written as one row
+    group is one task however many cores wait. Only then (a metadata check:
+    the file listing, no job) is it round-robin repartitioned to the default
+    parallelism; a large input, with many files and row groups, is returned
+    untouched, so this never adds a shuffle at scale.
+    """
+    spark = df.sparkSession
+    want = int(min_partitions or spark.sparkContext.defaultParallelism)
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    return df.repartition(want)
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """Column names and types of a table, from its schema alone (the
     ``limit 0`` probe of the studied tool; no job runs)."""
