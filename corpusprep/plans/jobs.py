@@ -17,6 +17,7 @@ from corpusprep.operators import media as M
 from corpusprep.operators import resolve as R
 from corpusprep.operators import samples as S
 from corpusprep.operators import shards as SH
+from corpusprep.session import apply_scale_conf
 from corpusprep.sinks import writers as W
 from corpusprep.sources import tables as TB
 
@@ -42,6 +43,7 @@ def job_fetch(spark: SparkSession, samples: DataFrame, store: DataFrame, out: st
     (K3 = ``status=stored``, K4 = ``status=error``), then the ledger. Returns
     the work list that was processed.
     """
+    apply_scale_conf(spark)
     finished = SH.read_ledger(spark, f"{out}/ledger")
     work = SH.select_shards(SH.present_shards(samples), finished, start, end, shards)
     meta = S.prepare_metadata(samples.join(work, "shard", "left_semi"), kinds, predicate, sort=False)
@@ -70,6 +72,7 @@ def job_repair(spark: SparkSession, samples: DataFrame, store: DataFrame, blobs:
     to a new version folder (a path being read cannot be overwritten); its
     path is returned.
     """
+    apply_scale_conf(spark)  # shard folders are read as strings
     stored = spark.read.parquet(blobs)
     err = spark.read.parquet(errors)
     err = err.withColumnRenamed("object_key", "line") if "line" not in err.columns else err
@@ -99,6 +102,7 @@ def job_convert(spark: SparkSession, samples: DataFrame, members: DataFrame, out
     ``geometry(df) -> df`` adds ``w``/``h`` (the caller's header decoder); the
     re-compression plan is computed from them. Returns the work list.
     """
+    apply_scale_conf(spark)
     work = SH.convertible_shards(SH.present_shards(samples), members,
                                  finished, overwrite)
     meta = samples.join(work, "shard", "left_semi")

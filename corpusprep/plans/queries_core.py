@@ -159,10 +159,10 @@ def q_filter_user(spark, sf):
 
 
 @register("prepare_metadata", ["samples"], """
-SELECT page_id, key, shard, marker FROM samples WHERE marker IN (0, 1) AND page_id % 2 = 0""")
+SELECT page_id, key, shard, marker FROM samples WHERE marker IN (0, 1) AND ext <> 'png'""")
 def q_prepare_metadata(spark, sf):
     return S.prepare_metadata(_samples(spark, sf), kinds=("images", "videos"),
-                              predicate="page_id % 2 = 0").select("page_id", "key", "shard", "marker")
+                              predicate="ext <> 'png'").select("page_id", "key", "shard", "marker")
 
 
 @register("candidate_keys", ["candidates"], """
