@@ -92,11 +92,14 @@ def candidate_struct(key: Column | str, marker: Column | str, ext: Column | str)
 
 
 def stem_last_suffix(name: Column | str) -> Column:
-    """``Path(name).stem`` - base name without its last extension."""
-    base = F.regexp_extract(_c(name), r"([^/]*)$", 1)
-    # a leading dot alone is not an extension (".bashrc" keeps its name)
-    return F.when(F.instr(F.substring(base, 2, 1 << 30), ".") == 0, base).otherwise(
-        F.regexp_extract(base, r"^(.+)\.[^.]*$", 1))
+    """``Path(name).stem`` - the base name without its last suffix.
+
+    As in Python's path rule: trailing slashes are ignored, and the last dot
+    splits only when it is neither the first nor the last character of the
+    base name (``.hidden``, ``a.`` and ``a.b.`` keep their names).
+    """
+    base = F.regexp_extract(F.regexp_replace(_c(name), "/+$", ""), r"([^/]*)$", 1)
+    return F.when(base.rlike(r"^.+\.[^.]+$"), F.regexp_extract(base, r"^(.+)\.[^.]+$", 1)).otherwise(base)
 
 
 def stem_first_dot(name: Column | str) -> Column:

@@ -47,15 +47,30 @@ def filter_kind(df: DataFrame, kinds=(0, 1), marker: str = "marker") -> DataFram
     return df.where(F.col(marker).isin(K.kinds_to_codes(kinds)))
 
 
-def filter_user(df: DataFrame, predicate: Column | str | None = None) -> DataFrame:
-    """Caller predicate as a Column or a SQL expression string.
+def filter_user(df: DataFrame, predicate=None) -> DataFrame:
+    """Caller predicate as a Column, a SQL expression string, or a
+    Python callable on the row as a dict.
 
     Never ``eval``: a SQL string goes through Spark's parser, so it is also
-    pushed down to the scan when it only touches stored columns.
+    pushed down to the scan when it only touches stored columns. A callable is
+    the slow path (an Arrow-batched Python UDF over the row's columns, opaque
+    to the optimizer); prefer a Column or SQL text.
     """
     if predicate is None:
         return df
-    return df.where(F.expr(predicate) if isinstance(predicate, str) else predicate)
+    if isinstance(predicate, str):
+        return df.where(F.expr(predicate))
+    if isinstance(predicate, Column):
+        return df.where(predicate)
+    if callable(predicate):
+        from pyspark.sql.types import BooleanType
+        fn = predicate
+
+        def keep(row) -> bool:
+            return bool(fn(row.asDict(recursive=True)))
+        udf = F.udf(keep, BooleanType(), useArrow=True)
+        return df.where(udf(F.struct(*[F.col(c) for c in df.columns])))
+    raise TypeError(f"unsupported predicate: {type(predicate).__name__}")
 
 
 def prepare_metadata(df: DataFrame, kinds=(0, 1), predicate=None,

@@ -114,9 +114,9 @@ LEFT JOIN (SELECT rc.page_id, rc.ord, rc.object_key, s.data FROM candidates rc
 WHERE c.ord = 0"""),
     "members": (("archive",), """
 SELECT shard, ord, name, data,
-  CASE WHEN strpos(substr(base, 2), '.') = 0 THEN base
-       ELSE regexp_extract(base, '^(.+)[.][^.]*$', 1) END AS key
-FROM (SELECT *, regexp_extract(name, '([^/]*)$', 1) AS base FROM archive) a"""),
+  CASE WHEN regexp_matches(base, '^.+[.][^.]+$') THEN regexp_extract(base, '^(.+)[.][^.]+$', 1)
+       ELSE base END AS key
+FROM (SELECT *, regexp_extract(regexp_replace(name, '/+$', ''), '([^/]*)$', 1) AS base FROM archive) a"""),
     "features": (("vectors",), """
 SELECT p.vec_id, v.key,
   CAST(sum(((p.i * 7 + 0 * 13) % 5 - 2) * floor(p.v * 1000)) AS BIGINT) AS y0,

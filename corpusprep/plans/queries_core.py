@@ -198,10 +198,11 @@ def q_attach_payload(spark, sf):
 
 @register("member_key", ["archive"], """
 SELECT shard, ord, name,
-  CASE WHEN strpos(substr(base, 2), '.') = 0 THEN base
-       ELSE regexp_extract(base, '^(.+)[.][^.]*$', 1) END AS stem_last,
+  CASE WHEN regexp_matches(rbase, '^.+[.][^.]+$') THEN regexp_extract(rbase, '^(.+)[.][^.]+$', 1)
+       ELSE rbase END AS stem_last,
   split_part(base, '.', 1) AS stem_first
-FROM (SELECT shard, ord, name, regexp_extract(name, '([^/]*)$', 1) AS base FROM
+FROM (SELECT shard, ord, name, regexp_extract(name, '([^/]*)$', 1) AS base,
+        regexp_extract(regexp_replace(name, '/+$', ''), '([^/]*)$', 1) AS rbase FROM
       (SELECT shard, ord, CASE WHEN ord = 1 THEN concat(name, '.bak') ELSE name END AS name FROM archive) a) b""")
 def q_member_key(spark, sf):
     a = FX.archive(_pages(spark, sf))
