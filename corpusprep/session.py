@@ -70,3 +70,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = os.path.join(path, "checkpoints")
     sc.setCheckpointDir(path)
     return path
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                   max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized from the data, for a cluster run (not applied here).
+
+    Shuffle partitions: enough that one partition of the largest shuffle is
+    about ``target_partition_bytes`` (so sorts and hash tables fit in an
+    executor's share of memory instead of spilling), at least twice the
+    cores, rounded up to a multiple of the cores. Scan splits: at most
+    ``max_partition_bytes``. AQE then coalesces what turns out small and
+    splits skewed join partitions above the same size.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        **SCALE_CONF,
+    }
