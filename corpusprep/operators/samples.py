@@ -77,9 +77,9 @@ def prepare_metadata(df: DataFrame, kinds=(0, 1), predicate=None,
                      sort: bool = True) -> DataFrame:
     """Kind filter, user filter, then key order within each shard.
 
-    The order is a per-shard order (``sortWithinPartitions`` after clustering
-    by shard), never a global sort: downstream writers consume one shard per
-    task, which is what the studied tool's per-shard sort was for.
+    The order is a per-shard key order (range clustering, then
+    ``sortWithinPartitions``), which is what the studied tool's per-shard sort
+    was for; no single task has to hold a whole shard.
     """
     out = filter_user(filter_kind(df, kinds), predicate)
     if sort:
@@ -88,8 +88,13 @@ def prepare_metadata(df: DataFrame, kinds=(0, 1), predicate=None,
 
 
 def sort_by_key(df: DataFrame) -> DataFrame:
-    """O1: cluster by shard, sort each partition by (shard, key)."""
-    return df.repartition("shard").sortWithinPartitions("shard", "key")
+    """O1: cluster by shard, sort each partition by (shard, key).
+
+    Range partitioning (with a per-row tiebreak) keeps a shard's rows in
+    contiguous key order across tasks; a hot shard spans several tasks.
+    """
+    from corpusprep.operators.windows import cluster_sorted
+    return cluster_sorted(df, ["shard", "key"])
 
 
 def validate_row_count(df: DataFrame, expected: int | Column) -> DataFrame:

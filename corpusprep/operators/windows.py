@@ -40,7 +40,11 @@ def row_number_within(df: DataFrame, group: list[str], order: list[str],
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     gcols = list(group)
     sort_cols = gcols + list(order)
-    base = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
+    # the tiebreak lets the range partitioner split rows that tie on (g, o),
+    # e.g. exact copies of one row; it is not part of the sort inside a task
+    base = df.withColumn("_tb", F.monotonically_increasing_id()) \
+        .repartitionByRange(n, *sort_cols, "_tb").sortWithinPartitions(*sort_cols, "_tb") \
+        .drop("_tb") \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id())
 
@@ -55,3 +59,18 @@ def row_number_within(df: DataFrame, group: list[str], order: list[str],
     joined = base.join(stats, cond, "inner")
     return joined.withColumn(name, F.col("_pos") - F.col("_start") + 1 + F.col("_carry")) \
         .drop("_pid", "_pos", "_spid", "_start", "_carry", *[f"_s_{c}" for c in gcols])
+
+
+def cluster_sorted(df: DataFrame, cols: list[str], num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``cols`` and sort each partition by them.
+
+    Each task then holds a contiguous run of ``cols`` (a writer emits one file
+    per shard it holds). A per-row tiebreak is part of the range key, so a hot
+    value - or a third of the table made of copies of one row - spans several
+    tasks instead of one.
+    """
+    tb = F.monotonically_increasing_id().alias("_tb")
+    w = df.select("*", tb)
+    w = w.repartitionByRange(num_partitions, *cols, "_tb") if num_partitions \
+        else w.repartitionByRange(*cols, "_tb")
+    return w.sortWithinPartitions(*cols).drop("_tb")

@@ -17,6 +17,7 @@ from corpusprep.operators import media as M
 from corpusprep.operators import resolve as R
 from corpusprep.operators import samples as S
 from corpusprep.operators import shards as SH
+from corpusprep.operators.windows import cluster_sorted
 from corpusprep.session import apply_scale_conf
 from corpusprep.sinks import writers as W
 from corpusprep.sources import tables as TB
@@ -48,9 +49,8 @@ def job_fetch(spark: SparkSession, samples: DataFrame, store: DataFrame, out: st
     work = SH.select_shards(SH.present_shards(samples), finished, start, end, shards)
     meta = S.prepare_metadata(samples.join(work, "shard", "left_semi"), kinds, predicate, sort=False)
     res = R.split_success_failure(R.resolve_objects(meta, store.select("object_key", data_col), data_col))
-    res.select("key", "object_key", data_col, "status", "shard") \
-        .repartitionByRange("status", "shard", "object_key") \
-        .sortWithinPartitions("status", "shard", "object_key") \
+    cluster_sorted(res.select("key", "object_key", data_col, "status", "shard"),
+                   ["status", "shard", "object_key"]) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("status", "shard").parquet(f"{out}/fetched")
     W.ledger_append(work, f"{out}/ledger")

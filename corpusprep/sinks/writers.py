@@ -23,10 +23,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _shard_clustered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Range-partition on (shard, order): each task writes a contiguous run of
-    shards; a hot shard spans several tasks (several files) instead of one."""
-    return df.repartitionByRange("shard", *order).sortWithinPartitions("shard", *order)
+def _shard_clustered(df: DataFrame, order: list[str], lead: tuple[str, ...] = ("shard",)) -> DataFrame:
+    from corpusprep.operators.windows import cluster_sorted
+    return cluster_sorted(df, [*lead, *order])
 
 
 def write_shard_jsonl(df: DataFrame, path: str, mode: str = "overwrite", order=("key",)) -> None:

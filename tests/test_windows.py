@@ -30,3 +30,16 @@ def test_null_group_keys(spark):
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2)
                                      .alias("g"), F.col("id").alias("o"))
     _check(df, ["g"], ["o"], 6)
+
+
+def test_copies_of_one_row_spread_and_number(spark):
+    # a third of the table is the same row: ties on (g, o) must still split
+    copies = spark.range(0, 9000).select(F.lit(5).alias("g"), F.lit(1).alias("o"))
+    others = spark.range(0, 18000).select((F.col("id") % 50).alias("g"), F.col("id").alias("o"))
+    df = copies.unionByName(others)
+    got = row_number_within(df, ["g"], ["o"], num_partitions=12)
+    hot = got.where("g = 5")
+    assert sorted(r.rn for r in hot.collect()) == list(range(1, 9000 + 18000 // 50 + 1))
+    from corpusprep.operators.windows import cluster_sorted
+    parts = cluster_sorted(copies, ["g", "o"], 6).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
