@@ -55,9 +55,17 @@ def q_scan_samples(spark, sf):
     return FX.raw_samples(TB.scan_table(spark, f"{sf}/pages.parquet"))
 
 
-@register("describe_columns")
+_RAW_COLS = ["page_id", "downloadurl", "longitude", "latitude", "accuracy", "marker", "ext", "payload"]
+
+
+@register("describe_columns", ["raw_samples"], "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS name, count({c}) AS n_non_null FROM raw_samples"
+    for i, c in enumerate(_RAW_COLS)))
 def q_describe_columns(spark, sf):
-    return TB.describe_columns(FX.raw_samples(_pages(spark, sf)))
+    raw = FX.raw_samples(_pages(spark, sf))
+    schema = TB.describe_columns(raw).select("position", "name")       # from the schema alone
+    counts = TB.profile_columns(raw).select("position", "n_non_null")  # one pass over the table
+    return schema.join(counts, "position").select("position", "name", "n_non_null")
 
 
 @register("list_meta_shards", ["samples"], f"""

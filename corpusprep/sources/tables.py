@@ -51,6 +51,16 @@ def describe_columns(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position int, name string, type string")
 
 
+def profile_columns(df: DataFrame) -> DataFrame:
+    """S2 with data: ``(position, name, n_non_null)`` for every column, in one
+    pass (one partial aggregate per column, then an unpivot of one row)."""
+    names = df.columns
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)])
+    pairs = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("name"), F.col(f"c{i}").alias("n_non_null"))
+             for i, c in enumerate(names)]
+    return counts.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
 def sample_schema(extra: T.StructType | None = None) -> T.StructType:
     fields = [T.StructField(n, t, True) for n, t in SAMPLE_TYPES.items()]
     if extra is not None:

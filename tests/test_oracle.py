@@ -32,7 +32,7 @@ def test_rows_only(spark, name):
 
 def test_registry_consistent():
     assert set(ORACLE) <= set(QUERIES)
-    assert len(QUERIES) >= 90
+    assert len(QUERIES) >= 99
 
 
 def test_entry(spark):
