@@ -60,15 +60,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local tests) is a fresh scratch folder created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the conf is visible
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     path = os.path.join(path, "checkpoints")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -36,8 +36,11 @@ def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> Data
     untouched, so this never adds a shuffle at scale.
     """
     spark = df.sparkSession
-    want = int(min_partitions or spark.sparkContext.defaultParallelism)
-    have = df.rdd.getNumPartitions()
+    try:
+        want = int(min_partitions or spark.sparkContext.defaultParallelism)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no classic context (e.g. a remote session): leave as is
+        return df
     if have >= want:
         return df
     return df.repartition(want)
@@ -89,9 +92,16 @@ def read_metadata_shards(spark: SparkSession, path: str, schema: T.StructType |
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does ``path`` exist on its (Hadoop) file system - a metadata call only."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle: ask Spark to list it
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def read_text_lines(spark: SparkSession, path: str, col: str = "line",
