@@ -8,7 +8,7 @@ joined to the 4,096-name domain is bounded by construction.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
@@ -190,7 +190,3 @@ def count_in_domain(domain: DataFrame, data: DataFrame, on: str = "shard",
     """Left join a bounded name table with per-name counts of a data table."""
     counts = data.groupBy(on).agg(F.count(F.lit(1)).alias(name))
     return domain.join(counts, on, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
-
-
-def shard_from_path(path: Column | str) -> Column:
-    return K.file_shard(path)

@@ -123,3 +123,20 @@ def test_describe_columns(spark):
     df = spark.createDataFrame([], "a int, b string")
     assert [(r.position, r.name, r.type) for r in TB.describe_columns(df).collect()] == [(0, "a", "int"),
                                                                                          (1, "b", "string")]
+
+
+def test_error_log_files_and_pending_shards(spark, tmp_dir):
+    d = f"{tmp_dir}/errs"
+    os.makedirs(d)
+    with open(f"{d}/abc.err", "w") as fh:
+        fh.write("data/images/abc/def/abcdef1.jpg\n  data/images/abc/def/abcdef2.jpg \n\n")
+    with open(f"{d}/0f0.err", "w") as fh:
+        fh.write("data/images/0f0/000/0f0000.jpg")
+    from corpusprep.operators import resolve as R
+    lines = R.scan_error_lines(TB.read_error_logs(spark, d))
+    got = sorted(tuple(r) for r in lines.collect())
+    assert got == [("0f0", "data/images/0f0/000/0f0000.jpg"), ("abc", "data/images/abc/def/abcdef1.jpg"),
+                   ("abc", "data/images/abc/def/abcdef2.jpg")]
+    present = spark.createDataFrame([("0f0",), ("abc",), ("fff",)], "shard string")
+    ledger = spark.createDataFrame([("abc",), ("abc ",)], "shard string")
+    assert sorted(r.shard for r in INC.pending_shards(present, ledger).collect()) == ["0f0", "fff"]
