@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
+from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
 
 _WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -46,7 +47,10 @@ def _listing(store: DataFrame, name: str = "object_key") -> DataFrame:
 
 
 def _distinct_triples(samples: DataFrame) -> DataFrame:
-    return samples.select("key", "marker", "ext").where(F.col("key").isNotNull()).distinct() \
+    """One row per ``(key, marker, ext)`` with its sample count ``_n`` (a
+    partial aggregate: copies are combined before the shuffle)."""
+    return samples.where(F.col("key").isNotNull()).groupBy("key", "marker", "ext") \
+        .agg(F.count(F.lit(1)).alias("_n")) \
         .withColumn("_canon", K.canonical_key("key", "marker")) \
         .withColumn("_alt", K.alternate_key("key", "marker", "ext"))
 
@@ -66,41 +70,53 @@ def resolve_keys(samples: DataFrame, store: DataFrame, allowed: DataFrame | None
     hit = t.join(lst, (t.key == lst._hk) & lst._obj.isin(t._canon, t._alt), "left") \
         .withColumn("_ord", F.when(F.col("_obj") == F.col("_canon"), F.lit(0))
                     .when(F.col("_obj") == F.col("_alt"), F.lit(1)))
-    best = hit.groupBy("key", "marker", "ext", "_canon", "_alt").agg(F.min("_ord").alias("hit_ord"))
+    best = hit.groupBy("key", "marker", "ext", "_canon", "_alt", "_n").agg(F.min("_ord").alias("hit_ord"))
     return best.select(
         "key", "marker", "ext", F.col("_canon").alias("canonical"),
         F.when(F.col("hit_ord") == 1, F.col("_alt")).otherwise(F.col("_canon")).alias("object_key"),
-        "hit_ord",
+        "hit_ord", "_n",
     )
 
 
-def _attach_resolution(samples: DataFrame, res: DataFrame) -> DataFrame:
-    """Join the key-level resolution back to every sample (copies included)."""
+TRIPLE = ["key", "marker", "ext"]
+
+
+def _attach_resolution(samples: DataFrame, res: DataFrame,
+                       target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Join the key-level resolution back to every sample (copies included);
+    keys with more than ``target_rows`` samples are salted over several tasks."""
     r = res.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"),
                    "canonical", "object_key", "hit_ord")
-    cond = (F.col("key") == F.col("_rk")) & F.col("marker").eqNullSafe(F.col("_rm")) \
-        & F.col("ext").eqNullSafe(F.col("_re"))
-    return samples.join(r, cond, "left").drop("_rk", "_rm", "_re")
+    hot = hot_keys(res, TRIPLE, "_n", target_rows)
+    return salted_join(samples, r, TRIPLE, ["_rk", "_rm", "_re"], "left", hot).drop("_rk", "_rm", "_re")
 
 
-def object_exists(samples: DataFrame, store: DataFrame) -> DataFrame:
+def object_exists(samples: DataFrame, store: DataFrame,
+                  target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Samples plus ``exists`` - is any candidate in the store."""
     res = resolve_keys(samples, store)
-    return _attach_resolution(samples, res).withColumn("exists", F.col("hit_ord").isNotNull()) \
+    return _attach_resolution(samples, res, target_rows).withColumn("exists", F.col("hit_ord").isNotNull()) \
         .drop("canonical", "object_key", "hit_ord")
 
 
 def resolve_objects(samples: DataFrame, store: DataFrame, data_col: str = "data",
-                    allowed: DataFrame | None = None) -> DataFrame:
+                    allowed: DataFrame | None = None,
+                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """For each sample, the first candidate that exists, else (canonical, null).
 
     Adds ``object_key``, ``found`` and the payload column ``data_col``. The
     payload is joined last, once, on the resolved path (found rows only).
+    Both joins back to the samples salt keys / objects with more than
+    ``target_rows`` samples; the counts come from the key-level table, so
+    finding them costs no extra pass over the samples.
     """
     res = resolve_keys(samples, store, allowed)
-    out = _attach_resolution(samples, res).withColumn("found", F.col("hit_ord").isNotNull())
+    out = _attach_resolution(samples, res, target_rows).withColumn("found", F.col("hit_ord").isNotNull())
+    # all resolved paths count (not-found copies shuffle on their canonical path too)
+    per_object = res.groupBy("object_key").agg(F.sum("_n").alias("_n"))
+    hot = hot_keys(per_object, ["object_key"], "_n", target_rows)
     payload = store.select(F.col("object_key").alias("_pk"), F.col(data_col).alias("_data"))
-    out = out.join(payload, (F.col("found")) & (F.col("object_key") == F.col("_pk")), "left")
+    out = salted_join(out, payload, ["object_key"], ["_pk"], "left", hot, extra=F.col("found"))
     return out.drop("_pk", "hit_ord", "canonical").withColumnRenamed("_data", data_col)
 
 
@@ -124,7 +140,7 @@ def failures(resolved: DataFrame, data_col: str = "data") -> DataFrame:
 
 
 def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
-                 name_col: str = "name") -> DataFrame:
+                 name_col: str = "name", target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Samples with no candidate among the members of their shard's archive
     *and* some candidate in the store (anti-join per sample, not per candidate).
 
@@ -146,9 +162,10 @@ def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
     present = absent.join(lst, (absent.key == lst._hk) & lst._obj.isin(absent._canon, absent._alt),
                           "left_semi")
     p = present.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"))
-    cond = (F.col("key") == F.col("_rk")) & F.col("marker").eqNullSafe(F.col("_rm")) \
-        & F.col("ext").eqNullSafe(F.col("_re"))
-    return samples.join(p, cond, "left_semi")
+    # hot keys from *all* triples: copies of a key that is not missing must not
+    # pile into one task on their way to finding no match
+    hot = hot_keys(t, TRIPLE, "_n", target_rows)
+    return salted_join(samples, p, TRIPLE, ["_rk", "_rm", "_re"], "left_semi", hot)
 
 
 def shards_with_archive(samples: DataFrame, archive: DataFrame) -> DataFrame:
@@ -210,9 +227,10 @@ def repair_candidates(samples: DataFrame, store: DataFrame, errors: DataFrame,
     """Retry only samples with a candidate named in the error set; among
     those candidates the first that exists wins, else (canonical, null)."""
     allowed = errors.select("object_key").distinct()
-    cands = candidate_keys(samples.select("key", "marker", "ext").distinct())
-    retry = cands.join(allowed, "object_key", "left_semi") \
-        .select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re")).distinct()
-    todo = samples.join(retry, (F.col("key") == F.col("_rk")) & F.col("marker").eqNullSafe(F.col("_rm"))
-                        & F.col("ext").eqNullSafe(F.col("_re")), "left_semi")
+    trip = _distinct_triples(samples)
+    cands = candidate_keys(trip.select(*TRIPLE, "_n"))
+    retry = cands.join(allowed, "object_key", "left_semi").select(*TRIPLE, "_n").distinct()
+    hot = hot_keys(trip, TRIPLE, "_n", DEFAULT_TARGET_ROWS)
+    todo = salted_join(samples, retry.select(*[F.col(c).alias(f"_r{c}") for c in TRIPLE]), TRIPLE,
+                       [f"_r{c}" for c in TRIPLE], "left_semi", hot)
     return resolve_objects(todo, store, data_col, allowed=allowed)

@@ -69,8 +69,10 @@ def cluster_sorted(df: DataFrame, cols: list[str], num_partitions: int | None =
     value - or a third of the table made of copies of one row - spans several
     tasks instead of one.
     """
+    # The partition count is explicit: AQE measures *compressed* bytes, and the
+    # split pieces of a pile of copies compress to almost nothing, so it would
+    # coalesce them straight back into one task.
+    n = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tb = F.monotonically_increasing_id().alias("_tb")
-    w = df.select("*", tb)
-    w = w.repartitionByRange(num_partitions, *cols, "_tb") if num_partitions \
-        else w.repartitionByRange(*cols, "_tb")
+    w = df.select("*", tb).repartitionByRange(n, *cols, "_tb")
     return w.sortWithinPartitions(*cols).drop("_tb")
