@@ -34,9 +34,18 @@ def decode_errors(df: DataFrame, col: str = "embedding", key: str = "key",
     return df.where(F.col(col).isNull()).select(key, p.alias("path"))
 
 
-def pending_features(df: DataFrame, stored_keys: DataFrame, key: str = "key") -> DataFrame:
-    """Rows whose key is not in the feature store (per key, fixes D8)."""
-    return df.join(stored_keys.select(F.col(key)).distinct(), key, "left_anti")
+def pending_features(df: DataFrame, stored_keys: DataFrame, key: str = "key",
+                     target_rows: int | None = None) -> DataFrame:
+    """Rows whose key is not in the feature store (per key, fixes D8).
+
+    Keys with more than ``target_rows`` rows (copies of one image) are salted
+    over several tasks; the counts are a key-only partial aggregate.
+    """
+    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(counts, [key], "_n", target_rows or DEFAULT_TARGET_ROWS)
+    stored = stored_keys.select(F.col(key).alias("_sk")).distinct()
+    return salted_join(df, stored, [key], ["_sk"], "left_anti", hot)
 
 
 def cls_token(tokens) -> Column:

@@ -27,14 +27,13 @@ def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "o
     ``ord <= first`` keeps the output partitioned by ``key_cols``, so a
     following join on the same keys needs no second shuffle of the payload.
     """
+    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     keys = list(key_cols)
-    first = archive.groupBy(*keys).agg(F.min(order).alias("_first"))
+    first = archive.groupBy(*keys).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(first, keys, "_n", DEFAULT_TARGET_ROWS)  # copies of one member: salted
     first = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
-    cond = None
-    for k in keys:
-        c = F.col(k) == F.col(f"_k_{k}")
-        cond = c if cond is None else cond & c
-    return archive.join(first, cond & (F.col(order) <= F.col("_first")), "left_semi")
+    return salted_join(archive, first, keys, [f"_k_{k}" for k in keys], "left_semi", hot,
+                       extra=F.col(order) <= F.col("_first"))
 
 
 def attach_payload(df: DataFrame, data_col: str = "data", marker: str = "marker") -> DataFrame:
@@ -50,14 +49,28 @@ def join_metadata_blobs(samples: DataFrame, archive: DataFrame, order: str = "sr
 
     Repeated metadata keys: the last row in source order wins (A7). Repeated
     members: the first in archive order wins (W4). Unmatched rows on either
-    side are dropped. Only one side carries payload and it is shuffled once.
+    side are dropped.
+
+    Everything but the payload is key-level: the first member's ``ord`` per
+    key (partial aggregate) is joined with the deduplicated metadata into one
+    lookup row per key. The payload rows then meet that lookup in a single
+    salted join (``ord <= first`` as a residual): the payload is shuffled once,
+    and copies of one member never pile into one task.
     """
     from corpusprep.operators.samples import dedupe_last
-    meta = dedupe_last(samples, ["shard", "key"], order) if order in samples.columns else samples
+    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
+    keys = ["shard", "key"]
+    meta = dedupe_last(samples, keys, order) if order in samples.columns else samples
     members = member_keys(archive.select("shard", name_col, "ord", "data"), name_col)
-    firsts = first_members(members)
-    return meta.join(firsts.select("shard", "key", F.col(name_col).alias("member"), "data"),
-                     ["shard", "key"], "inner")
+    first = members.groupBy(*keys).agg(F.min("ord").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(first, keys, "_n", DEFAULT_TARGET_ROWS)
+    lookup = first.join(meta, keys, "inner").drop("_n")
+    lookup = lookup.select(*[F.col(c).alias(f"_m_{c}") for c in lookup.columns])
+    out = salted_join(members, lookup, keys, [f"_m_{k}" for k in keys], "inner", hot,
+                      extra=F.col("ord") <= F.col("_m__first"))
+    meta_cols = [c for c in meta.columns if c not in keys]
+    return out.select(*keys, *[F.col(f"_m_{c}").alias(c) for c in meta_cols],
+                      F.col(name_col).alias("member"), "data")
 
 
 def column_variance(pixels: DataFrame, id_col: str = "id") -> DataFrame:
@@ -139,6 +152,9 @@ def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key") -> Da
     Members are reduced to their key first (``split('/')[-1].split('.')[0]``)
     and deduplicated last-wins per key before the join.
     """
+    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     idx = index.withColumn("_k", K.stem_first_dot("member")) \
         .groupBy("_k").agg(F.max("archive").alias("archive"))
-    return keys.join(idx, keys[key_col] == idx["_k"], "left").drop("_k")
+    counts = keys.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(counts, [key_col], "_n", DEFAULT_TARGET_ROWS)
+    return salted_join(keys, idx, [key_col], ["_k"], "left", hot).drop("_k")

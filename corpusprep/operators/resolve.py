@@ -128,9 +128,11 @@ def split_success_failure(resolved: DataFrame, data_col: str = "data") -> DataFr
 
 
 def successes(resolved: DataFrame, data_col: str = "data") -> DataFrame:
-    """Stored half of P11: ``(shard, object_key, data)`` for the blob sink."""
+    """Stored half of P11: ``(shard, object_key, data)`` for the blob sink, one
+    row per path (samples that share an object store it once)."""
     s = split_success_failure(resolved, data_col)
-    return s.where(F.col("status") == "stored").select("shard", "object_key", data_col)
+    return s.where(F.col("status") == "stored").select("shard", "object_key", data_col) \
+        .dropDuplicates(["shard", "object_key"])
 
 
 def failures(resolved: DataFrame, data_col: str = "data") -> DataFrame:
@@ -169,8 +171,10 @@ def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
 
 
 def shards_with_archive(samples: DataFrame, archive: DataFrame) -> DataFrame:
-    """J9 first step: only shards that have an archive are audited."""
-    return samples.join(archive.select("shard").distinct(), "shard", "left_semi")
+    """J9 first step: only shards that have an archive are audited (the shard
+    set has at most 4,096 names: a bounded broadcast, so a hot shard is never
+    shuffled)."""
+    return samples.join(F.broadcast(archive.select("shard").distinct()), "shard", "left_semi")
 
 
 def audit_shards(samples: DataFrame, archive: DataFrame, store: DataFrame,
@@ -194,9 +198,10 @@ def error_keys(err: DataFrame, archive: DataFrame, name_col: str = "name",
                line_col: str = "line") -> DataFrame:
     """Logged keys that are not members of the same shard's archive =
     real errors, one row per (shard, object_key)."""
-    lines = scan_error_lines(err, line_col)
-    members = archive.select("shard", F.col(name_col).alias("object_key"))
-    return lines.join(members, ["shard", "object_key"], "left_anti").distinct()
+    # distinct first: repeated lines collapse map-side before any shuffle
+    lines = scan_error_lines(err, line_col).distinct()
+    members = archive.select("shard", F.col(name_col).alias("object_key")).distinct()
+    return lines.join(members, ["shard", "object_key"], "left_anti")
 
 
 def distinct_errors(err: DataFrame, archive: DataFrame, **kw) -> DataFrame:
@@ -211,13 +216,15 @@ def error_stats(err: DataFrame, archive: DataFrame, name_col: str = "name",
     One conditional aggregate over a left join with the distinct member set;
     the distinct count of real errors is exact.
     """
-    lines = scan_error_lines(err, line_col)
+    # lines are counted per (shard, key) first, so repeated lines never meet
+    # the join as copies
+    lines = scan_error_lines(err, line_col).groupBy("shard", "object_key").agg(F.count(F.lit(1)).alias("_c"))
     members = archive.select("shard", F.col(name_col).alias("object_key"), F.lit(True).alias("_in")) \
         .distinct()
     j = lines.join(members, ["shard", "object_key"], "left")
     return j.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count(F.when(F.col("_in"), 1)).alias("n_stale"),
+        F.sum("_c").cast("bigint").alias("n_lines"),
+        F.coalesce(F.sum(F.when(F.col("_in"), F.col("_c"))), F.lit(0)).cast("bigint").alias("n_stale"),
         F.count_distinct(F.when(F.col("_in").isNull(), F.col("object_key"))).alias("n_errors"),
     )
 

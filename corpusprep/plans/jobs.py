@@ -47,7 +47,8 @@ def job_fetch(spark: SparkSession, samples: DataFrame, store: DataFrame, out: st
     apply_scale_conf(spark)
     finished = SH.read_ledger(spark, f"{out}/ledger")
     work = SH.select_shards(SH.present_shards(samples), finished, start, end, shards)
-    meta = S.prepare_metadata(samples.join(work, "shard", "left_semi"), kinds, predicate, sort=False)
+    # the work list has at most 4,096 names: a bounded broadcast
+    meta = S.prepare_metadata(samples.join(F.broadcast(work), "shard", "left_semi"), kinds, predicate, sort=False)
     res = R.split_success_failure(R.resolve_objects(meta, store.select("object_key", data_col), data_col))
     cluster_sorted(res.select("key", "object_key", data_col, "status", "shard"),
                    ["status", "shard", "object_key"]) \
@@ -80,7 +81,7 @@ def job_repair(spark: SparkSession, samples: DataFrame, store: DataFrame, blobs:
     # is cleaned, but only shards in the work list are retried
     work = SH.repair_shards(SH.present_shards(samples), start, end)
     real = R.error_keys(err, stored.select("shard", F.col("object_key").alias("name")))
-    todo = samples.join(work, "shard", "left_semi")
+    todo = samples.join(F.broadcast(work), "shard", "left_semi")
     repaired = R.repair_candidates(todo, store, real, data_col).where(F.col("found"))
     W.append_repaired(repaired.select("shard", "object_key", data_col), stored, blobs)
     # Still missing = real errors minus what was just repaired. Not a re-read of
@@ -105,8 +106,8 @@ def job_convert(spark: SparkSession, samples: DataFrame, members: DataFrame, out
     apply_scale_conf(spark)
     work = SH.convertible_shards(SH.present_shards(samples), members,
                                  finished, overwrite)
-    meta = samples.join(work, "shard", "left_semi")
-    joined = M.join_metadata_blobs(meta, members.join(work, "shard", "left_semi"), order)
+    meta = samples.join(F.broadcast(work), "shard", "left_semi")
+    joined = M.join_metadata_blobs(meta, members.join(F.broadcast(work), "shard", "left_semi"), order)
     if geometry is not None:
         joined = geometry(joined)
         joined = M.recompress_plan(joined, compress, subsampling, target_size)

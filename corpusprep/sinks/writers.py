@@ -60,8 +60,8 @@ def write_error_log(failed: DataFrame, path: str) -> None:
 
 def append_repaired(repaired: DataFrame, existing: DataFrame, path: str) -> DataFrame:
     """K5: add repaired members not already stored, by append (never rewrite)."""
-    new = repaired.select("shard", "object_key", "data") \
-        .join(existing.select("shard", "object_key"), ["shard", "object_key"], "left_anti")
+    new = repaired.select("shard", "object_key", "data").dropDuplicates(["shard", "object_key"]) \
+        .join(existing.select("shard", "object_key").distinct(), ["shard", "object_key"], "left_anti")
     new.write.mode("append").partitionBy("shard").parquet(path)
     return new
 
@@ -69,7 +69,8 @@ def append_repaired(repaired: DataFrame, existing: DataFrame, path: str) -> Data
 def write_missing(fetched: DataFrame, path: str) -> None:
     """K6: the audit's extra dataset; nothing is created for shards without
     missing members (a partitioned write makes no empty partitions)."""
-    write_parquet_by_shard(fetched.select("shard", "object_key", "data"), path, "overwrite")
+    write_parquet_by_shard(fetched.select("shard", "object_key", "data").dropDuplicates(["shard", "object_key"]),
+                           path, "overwrite")
 
 
 def ledger_append(shards: DataFrame, path: str) -> None:
