@@ -84,10 +84,14 @@ TRIPLE = ["key", "marker", "ext"]
 def _attach_resolution(samples: DataFrame, res: DataFrame,
                        target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Join the key-level resolution back to every sample (copies included);
-    keys with more than ``target_rows`` samples are salted over several tasks."""
+    keys with more than ``target_rows`` samples are salted over several tasks.
+
+    The hot set is read off the triple counts - the same plan as inside
+    :func:`resolve_keys`, so Spark reuses that shuffle instead of recomputing
+    the resolution."""
     r = res.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"),
                    "canonical", "object_key", "hit_ord")
-    hot = hot_keys(res, TRIPLE, "_n", target_rows)
+    hot = hot_keys(_distinct_triples(samples), TRIPLE, "_n", target_rows)
     return salted_join(samples, r, TRIPLE, ["_rk", "_rm", "_re"], "left", hot).drop("_rk", "_rm", "_re")
 
 
