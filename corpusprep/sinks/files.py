@@ -36,8 +36,12 @@ def write_zip_shards(members: DataFrame, path: str, name_col: str = "name",
     base = path.rstrip("/")
 
     def run(batches):
+        import warnings
         import zipfile
         import pandas as pd
+        # repeated member names are legal in a zip (readers take the first);
+        # the archives being reproduced contain them
+        warnings.filterwarnings("ignore", message="Duplicate name", category=UserWarning)
         cur, zf, fh, n, out = None, None, None, 0, []
 
         def close():
