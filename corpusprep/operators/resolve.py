@@ -11,9 +11,11 @@ small side at run time) and the per-key aggregation that follows reuses the
 join's partitioning: no extra exchange.
 
 Hot keys (one URL repeated a hundred million times) never reach a join as
-copies: the key-level work runs on ``distinct (key, marker, ext)``, which is
-combined map-side before the shuffle; copies meet the (small) resolved table
-only in the final join, where AQE's skew-join split applies.
+copies: the key-level work runs on the ``(key, marker, ext)`` counts, which
+are combined map-side before the shuffle. Copies meet the resolved table only
+on the way back to the samples, in salted joins (:mod:`.skew`): a key with
+more than ``target_rows`` samples is spread over ``ceil(n / target_rows)``
+tasks, the hot set being read off the same counts.
 """
 
 from __future__ import annotations
