@@ -22,10 +22,10 @@ def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "o
     """The first archive entry (smallest ``order``) of each key.
 
     The winner is found on keys only (a partial aggregate, combined map-side,
-    so copies of one key collapse before the shuffle); the payload side is then
-    kept with a semi-join whose only equi-keys are ``key_cols`` - the residual
-    ``ord <= first`` keeps the output partitioned by ``key_cols``, so a
-    following join on the same keys needs no second shuffle of the payload.
+    so copies of one key collapse before the shuffle); the payload rows are
+    then kept with one salted semi-join on the keys, ``ord <= first`` being a
+    residual. Payload rows never enter an aggregate buffer, and a member
+    repeated millions of times is spread over several tasks.
     """
     from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     keys = list(key_cols)
