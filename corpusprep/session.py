@@ -23,6 +23,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# Only for sessions this package builds itself (tests, bench): never pushed
+# onto a caller's session, since they change how results reach pandas.
+LOCAL_ONLY_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -39,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **LOCAL_ONLY_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
