@@ -22,8 +22,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# (dynamic partition overwrite is set per write by the sinks, not globally)
 # Only for sessions this package builds itself (tests, bench): never pushed
 # onto a caller's session, since they change how results reach pandas.
 LOCAL_ONLY_CONF = {
