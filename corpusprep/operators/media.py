@@ -18,7 +18,8 @@ def member_keys(archive: DataFrame, name_col: str = "name", rule: str = "last_su
     return archive.withColumn("key", f(name_col))
 
 
-def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "ord") -> DataFrame:
+def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "ord",
+                  target_rows: int | None = None) -> DataFrame:
     """The first archive entry (smallest ``order``) of each key.
 
     The winner is found on keys only (a partial aggregate, combined map-side,
@@ -30,7 +31,7 @@ def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "o
     from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     keys = list(key_cols)
     first = archive.groupBy(*keys).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(first, keys, "_n", DEFAULT_TARGET_ROWS)  # copies of one member: salted
+    hot = hot_keys(first, keys, "_n", target_rows or DEFAULT_TARGET_ROWS)  # copies of one member: salted
     first = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
     return salted_join(archive, first, keys, [f"_k_{k}" for k in keys], "left_semi", hot,
                        extra=F.col(order) <= F.col("_first"))
@@ -44,7 +45,7 @@ def attach_payload(df: DataFrame, data_col: str = "data", marker: str = "marker"
 
 
 def join_metadata_blobs(samples: DataFrame, archive: DataFrame, order: str = "src_order",
-                        name_col: str = "name") -> DataFrame:
+                        name_col: str = "name", target_rows: int | None = None) -> DataFrame:
     """Metadata ⨝ archive members on (shard, key).
 
     Repeated metadata keys: the last row in source order wins (A7). Repeated
@@ -63,7 +64,7 @@ def join_metadata_blobs(samples: DataFrame, archive: DataFrame, order: str = "sr
     meta = dedupe_last(samples, keys, order) if order in samples.columns else samples
     members = member_keys(archive.select("shard", name_col, "ord", "data"), name_col)
     first = members.groupBy(*keys).agg(F.min("ord").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(first, keys, "_n", DEFAULT_TARGET_ROWS)
+    hot = hot_keys(first, keys, "_n", target_rows or DEFAULT_TARGET_ROWS)
     lookup = first.join(meta, keys, "inner").drop("_n")
     lookup = lookup.select(*[F.col(c).alias(f"_m_{c}") for c in lookup.columns])
     out = salted_join(members, lookup, keys, [f"_m_{k}" for k in keys], "inner", hot,
@@ -146,7 +147,8 @@ def keys_per_archive(index: DataFrame) -> DataFrame:
     )
 
 
-def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key") -> DataFrame:
+def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key",
+                  target_rows: int | None = None) -> DataFrame:
     """Key -> its archive (null when not in any archive).
 
     Members are reduced to their key first (``split('/')[-1].split('.')[0]``)
@@ -156,5 +158,5 @@ def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key") -> Da
     idx = index.withColumn("_k", K.stem_first_dot("member")) \
         .groupBy("_k").agg(F.max("archive").alias("archive"))
     counts = keys.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, [key_col], "_n", DEFAULT_TARGET_ROWS)
+    hot = hot_keys(counts, [key_col], "_n", target_rows or DEFAULT_TARGET_ROWS)
     return salted_join(keys, idx, [key_col], ["_k"], "left", hot).drop("_k")

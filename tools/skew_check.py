@@ -59,6 +59,8 @@ def main():
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
+    from corpusprep.operators import features as FE
+    from corpusprep.operators import media as M
     from corpusprep.operators import resolve as R
     from corpusprep.operators import samples as S
     from corpusprep.operators.windows import row_number_within
@@ -99,6 +101,15 @@ def main():
         "resolve_objects": lambda: R.resolve_objects(samples, store, target_rows=target),
         "find_missing": lambda: R.find_missing(samples, archive, store, target_rows=target),
         "dedupe_last": lambda: S.dedupe_last(samples.select("key", "src", "ext"), "key", "src"),
+        # a third of the archive members are copies of one member
+        "join_metadata_blobs": lambda: M.join_metadata_blobs(
+            samples.select("shard", "key", "marker", F.col("src").alias("src_order")),
+            samples.select("shard", F.concat(F.col("key"), F.lit(".jpg")).alias("name"),
+                           F.col("src").cast("int").alias("ord"), F.lit("x").alias("data")),
+            target_rows=target),
+        "pending_features": lambda: FE.pending_features(
+            samples.select("key", "src"), samples.where(F.col("src") % 5 == 0).select("key"),
+            target_rows=target),
         "row_number_within": lambda: row_number_within(samples.select("shard", "key", "src"), ["shard"], ["src"]),
     }
     report = {}
