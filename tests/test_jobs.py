@@ -7,7 +7,6 @@ from corpusprep.operators import resolve as R
 from corpusprep.operators import shards as SH
 from corpusprep.plans import fixtures as FX
 from corpusprep.plans import jobs as J
-from corpusprep.sinks import writers as W
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,4 +91,3 @@ def test_prefix_release_manifest(spark, tmp_dir):
                  "licenses": [{"name": "CC0-1.0"}]}
     assert sum(r.n_features for r in out) == v.where("embedding is not null") \
         .where(F.substring("key", 1, 2).between("50", "5f")).count()
-    assert W is not None

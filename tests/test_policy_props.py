@@ -1,6 +1,5 @@
 """Property tests: Spark rules against plain-Python statements of the same rules."""
 import math
-import posixpath
 
 from hypothesis import given, settings, strategies as st
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
 from corpusprep.operators import shards as SH
@@ -49,4 +48,3 @@ def test_partition_names_stay_strings(spark, tmp_dir):
 def test_hex_prefix_bounds(spark):
     b = SH.prefix_bounds(spark, "52", "5f").collect()
     assert b[0].prefix == "52" and b[0].start == "520" and b[-1].end == "5ff" and len(b) == 14
-    assert F is not None
