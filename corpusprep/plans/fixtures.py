@@ -18,9 +18,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_SPREAD: dict[tuple[int, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; small single-task scans are spread over the cores
+    (decided once per session and path: the probe is metadata, but not free)."""
     from corpusprep.sources.tables import spread_small_input
-    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    key = (id(spark), path)
+    if key not in _SPREAD:
+        spread = spread_small_input(df)
+        _SPREAD[key] = spread.rdd.getNumPartitions() if spread is not df else 0
+    n = _SPREAD[key]
+    return df.repartition(n) if n else df
 
 
 def raw_samples(pages: DataFrame) -> DataFrame:

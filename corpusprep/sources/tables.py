@@ -26,18 +26,27 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         else spark.read.format("jdbc").options(**options).load()
 
 
-def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
+SPREAD_MAX_BYTES = 1 << 30  # only inputs below 1 GiB are ever spread
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None,
+                       max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Spread a *small* scan that yields fewer partitions than the cluster has
+    cores.
 
     A Parquet row group is never split, so a small table written as one row
-    group is one task however many cores wait. Only then (a metadata check:
-    the file listing, no job) is it round-robin repartitioned to the default
-    parallelism; a large input, with many files and row groups, is returned
-    untouched, so this never adds a shuffle at scale.
+    group is one task however many cores wait. Only when the scan has fewer
+    partitions than the default parallelism *and* Catalyst's size estimate is
+    below ``max_bytes`` (both metadata: the file listing, no job) is it
+    round-robin repartitioned. A large input is returned untouched, so this
+    never adds a shuffle of real data at scale.
     """
     spark = df.sparkSession
     try:
         want = int(min_partitions or spark.sparkContext.defaultParallelism)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= max_bytes:
+            return df
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no classic context (e.g. a remote session): leave as is
         return df
