@@ -43,3 +43,15 @@ def test_spread_only_small_inputs(spark, tmp_dir):
     assert spread_small_input(df, 4).rdd.getNumPartitions() == 4
     # above the byte bound: returned untouched, whatever the partition count
     assert spread_small_input(df, 4, max_bytes=1).rdd.getNumPartitions() == 1
+
+
+def test_no_query_plans_a_cross_product(spark):
+    """No registered query pairs rows without an equi-key (no cartesian or
+    nested-loop join, which emit all pairs)."""
+    import __spark_entry__ as E
+    bad = []
+    for name, fn in sorted(E.queries().items()):
+        plan = _plan(fn(spark, "/root/testdata/sf0.001"))
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            bad.append(name)
+    assert bad == []
