@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +82,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Installed packages need nothing of the kind; a checkout run from any other
+    folder does. The sources are zipped and handed to Spark, which serves
+    them to every executor; once per context.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusprep_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "corpusprep.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._corpusprep_shipped = True
+
+
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
                    max_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized from the data, for a cluster run (not applied here).

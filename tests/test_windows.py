@@ -43,3 +43,22 @@ def test_copies_of_one_row_spread_and_number(spark):
     from corpusprep.operators.windows import cluster_sorted
     parts = cluster_sorted(copies, ["g", "o"], 6).select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_payload_columns_are_kept_without_exchange_reuse(spark):
+    """A column outside group and order, pruned from one branch only, must not
+    change which rows meet (rows were lost when both branches re-sampled)."""
+    for wide in (1, 5, 20):
+        for reuse in ("true", "false"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            try:
+                df = spark.range(0, 60000, 1, 16).select(
+                    F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97).alias("g"),
+                    F.xxhash64("id").alias("o"), *[(F.col("id") + k).alias(f"x{k}") for k in range(wide)])
+                got = row_number_within(df, ["g"], ["o"], num_partitions=8)
+                agg = got.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("rn").alias("m"),
+                                           F.countDistinct("rn").alias("d"))
+                assert got.count() == 60000
+                assert agg.where("n <> m or n <> d").count() == 0
+            finally:
+                spark.conf.set("spark.sql.exchange.reuse", "true")
