@@ -69,19 +69,18 @@ def spread_hash(*cols: str | Column) -> Column:
     return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
-def chained_sum(df: DataFrame, group: list[str], order: list[Column], value: str, name: str,
-                buckets: int) -> DataFrame:
+def chained_sum(df: DataFrame, group: list[str], bucket: Column, order: list[Column], value: str,
+                name: str) -> DataFrame:
     """Append ``name`` = sum of ``value`` over the rows of ``group`` that come
-    before this one.
-
-    The order is ``(hash bucket of order, order)``: any fixed order serves the
-    callers, and the bucket is a pure function of the row, so the two uses of
-    the frame always agree, whatever is retried or reused. A window only ever
-    spans one bucket of one group; the buckets are chained by a running sum
-    over their totals (at most ``buckets`` rows a group). ``order`` must
-    determine a row up to full copies, which may take any of their places.
+    before this one by ``(bucket, *order)``.
+
+    ``bucket`` is a pure function of the row, so the two uses of the frame
+    always agree, whatever is retried or reused. A window only ever spans one
+    bucket of one group; the buckets are chained by a running sum over their
+    totals (one row per bucket and group). ``order`` must determine a row up
+    to full copies, which may take any of their places.
     """
-    tagged = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    tagged = df.withColumn("_bucket", bucket)
     keys = [*group, "_bucket"]
     totals = tagged.groupBy(*keys).agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

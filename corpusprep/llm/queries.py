@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import secrets, simhash
+from corpusprep.llm import langid, mix, pack, secrets, simhash
+from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,15 +27,36 @@ def _register(fn, sql: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights, by training position."""
+    return mix.mix_report(_table(spark, sf_dir, "documents"))
+
+
+_register(op2_mix, mix.ORACLE_SQL)
+
+
 @_register
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at 3 or fewer differing bits."""
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return pack.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_register
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents and all pages."""
+    return langid.identify_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
+
+
 @_register
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents."""

@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import hot_keys, lookup_join, materialize, spread_hash
@@ -149,3 +149,15 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = hot_keys(classes, "fp", "n", fps.count())
     return lookup_join(fps, named, "fp", hot, spread_hash("doc_id")) \
         .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
+                         radius: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each group: that of its smallest id (of rows
+    repeating an id, one). Rows with a null id cannot be named and stay."""
+    groups = simhash_components(docs, id_col, text_col, shingle, radius)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    one = Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
+    named = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi") \
+        .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
