@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import langid, mix, pack, secrets, simhash
+from corpusprep.llm import fingerprints, langid, mix, pack, secrets, simhash, toxicity
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
 
 
+@_register
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited_report(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_register
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents."""
