@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import fingerprints, langid, mix, pack, secrets, simhash, toxicity
+from corpusprep.llm import embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_register
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all vectors, within labels."""
+    return embeddings.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_register
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents."""
