@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity
+from corpusprep.llm import embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity, warc
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,14 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revisits of a crawl over all pages, resolved."""
+    return warc.revisit_report(_table(spark, sf_dir, "pages"))
+
+
+_register(op6_warc_revisits, warc.ORACLE_SQL)
+
+
 @_register
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents."""
