@@ -1,0 +1,106 @@
+import hashlib
+import random
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from corpusprep.llm import fingerprints as fp
+
+
+def test_report_against_slicing(tricky, tricky_rows):
+    for buckets in (1, 3, 40):
+        rows = fp.edited_report(tricky, buckets=buckets).collect()
+        assert len(rows) == len(tricky_rows)
+        named = sorted({r[0]: r[1] or "" for r in tricky_rows if r[0] is not None}.items(), reverse=True)
+        texts = dict(named)
+        prints = {}
+        for r in rows:
+            if r.doc_id is not None:
+                assert r.n_chars == len(texts[r.doc_id])
+                prints.setdefault(texts[r.doc_id], set()).add(r.fingerprint)
+        assert all(len(v) == 1 for v in prints.values())
+        assert len({next(iter(v)) for v in prints.values()}) == len(prints)
+        after = {a: b for (a, _), (b, _) in zip(named, named[1:], strict=False)}
+        for r in rows:
+            if r.doc_id in after and r.doc_id not in (99, 100):  # ids held by one row
+                t, nxt = texts[r.doc_id], texts[after[r.doc_id]]
+                half = len(t) // 2
+                edited = t[:len(t) - half] + nxt[:half]
+                assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+                same = next((k for k, (a, b) in enumerate(zip(t, edited, strict=False)) if a != b), min(len(t), len(edited)))
+                assert r.edit_start == same
+                assert 0 <= r.near_next <= 1 and (r.near_edited == 1) == (t == edited or r.near_edited == 1)
+                if edited in prints:
+                    assert r.edited_fingerprint in prints[edited]
+
+
+def test_wrap_around_single_and_tied_rows(shipped, empty):
+    one = shipped.createDataFrame([(5, "abcdef")], "doc_id long, text string")
+    r = fp.edited_report(one).first()
+    assert r.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and r.near_next == 1.0
+    three = shipped.createDataFrame([(1, "aaaa"), (2, "bbbb"), (3, "cccc")], "doc_id long, text string")
+    got = {r.doc_id: r.edited_sha256 for r in fp.edited_report(three, buckets=3).collect()}
+    assert got == {i: hashlib.sha256(t).hexdigest() for i, t in ((3, b"ccbb"), (2, b"bbaa"), (1, b"aacc"))}
+    copies = shipped.createDataFrame([(1, "aaaa")] * 7 + [(None, "aaaa")] * 3, "doc_id long, text string")
+    assert {(r.near_edited, r.near_next) for r in fp.edited_report(copies).collect()} == {(1.0, 1.0)}
+    assert fp.edited_report(empty).count() == 0
+    assert fp.edited_report(empty).columns == fp.edited_report(one).columns
+
+
+def test_short_next_document(shipped):
+    df = shipped.createDataFrame([(2, "abcdefgh"), (1, "xy"), (0, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in fp.edited_report(df).collect()}
+    assert got[2].edited_sha256 == hashlib.sha256(b"abcdxy").hexdigest()
+    assert got[1].edited_sha256 == hashlib.sha256(b"x").hexdigest()
+    assert got[0].n_chars == 0 and got[0].near_next == 0.0 and got[0].near_edited == 1.0
+
+
+def naive(points, base):
+    p = int(fp.PRIME)
+    inverse, s, out = pow(base, -1, p), 0, [0]
+    for i, c in enumerate(points):
+        s = (s + (c + 1) * pow(inverse, i, p)) % p
+        out.append(s)
+    return out
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=80), st.text(max_size=80), st.data())
+def test_spans_and_extensions(a, b, data):
+    a, b = a + "common part", "common part" + b
+    pa_, pb = fp.Prefix(fp.code_points(a)), fp.Prefix(fp.code_points(b))
+    for base, s in zip(fp.BASES, pa_.sums, strict=True):
+        assert s.tolist() == naive([ord(c) for c in a], base)
+    i = data.draw(st.integers(0, len(a)))
+    j = data.draw(st.integers(0, len(b)))
+    n = 0
+    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+        n += 1
+    assert pa_.extension(i, pb, j) == n
+    assert pa_.span(len(a) - 11, len(a)) == pb.span(0, 11)
+
+
+def test_chunks_do_not_show():
+    rng = random.Random(2)
+    t = "".join(chr(rng.choice([97, 98, 233, 0x1F600])) for _ in range(2 * fp.CHUNK + 77))
+    p = fp.Prefix(fp.code_points(t))
+    k = fp.CHUNK + 5
+    q = fp.Prefix(fp.code_points(t[k:]), p, k)
+    assert all((x == y).all() for x, y in zip(p.sums, q.sums, strict=True))
+    spans = p.spans(0, p.n - 31, 32)
+    twin = fp.Prefix(fp.code_points(t[1000:])).spans(0, p.n - 1031, 32)
+    assert (spans[1000:] == twin).all()
+
+
+def test_likeness_estimates_the_shared_share():
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    a = " ".join(rng.choice(words) for _ in range(4000))
+    b = " ".join(rng.choice(words) for _ in range(4000))
+    sketch = lambda t: fp.Prefix(fp.code_points(t)).sketch()
+    assert fp.likeness(sketch(a), sketch(a)) == 1.0
+    assert fp.likeness(sketch(a), sketch(b)) < 0.05
+    half = a[:len(a) // 2] + b[:len(a) // 2]
+    assert abs(fp.likeness(sketch(a), sketch(half)) - 0.5) < 0.17
+    assert abs(np.mean([fp.likeness(sketch(a), sketch(a[:int(len(a) * s)])) - 2 * s / (1 + s) for s in (0.2, 0.4, 0.6, 0.8, 0.9)])) < 0.1
