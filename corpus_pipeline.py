@@ -35,9 +35,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are cut out of the texts; all documents stay."""
-    out = secrets.redact_secrets(docs.withColumn("_was", F.col("text")))
-    n_chars = F.when(F.col("text").eqNullSafe(F.col("_was")), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    out = secrets.redact_secrets(docs, changed_col="_changed")
+    n_chars = F.when(F.col("_changed"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars).drop("_changed")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,10 +35,34 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sealed(df: DataFrame, *names: str | None) -> tuple:
+    """``(frame, the new names of names, restore)``: every column of ``df`` under
+    a name no operator uses; ``restore`` selects them back under their own."""
+    inner = [f"_in{i}" for i in range(len(df.columns))]
+    at = dict(zip(df.columns, inner, strict=True))
+    return df.toDF(*inner), [n and at[n] for n in names], lambda out: out.select(*inner).toDF(*df.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_bounds(df: DataFrame, column: str, ranges: int) -> list[int]:
+    """At most ``ranges - 1`` ascending bounds that deal a long column's values
+    (nulls left out) into about equal ranges; plain numbers, so every use of
+    them deals alike."""
+    if ranges < 2:
+        return []
+    return sorted({int(x) for x in df.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.2 / ranges)})
+
+
+def range_of(bounds: list[int], column: str) -> Column:
+    """The number of bounds at or below the value: its range, from 0."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col(column)))
+
+
 def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
     """``(_hot, _salts)`` of the keys holding more than ``total / HOT_KEYS``
     rows: at most ``HOT_KEYS`` entries whatever the data."""

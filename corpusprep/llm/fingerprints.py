@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import shuffle_partitions
+from corpusprep.llm.common import range_bounds, range_of, shuffle_partitions
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_000_003, 814_279_211)
@@ -40,7 +40,6 @@ SPAN = 32
 SKETCH = 64
 DIGITS = 10
 CHUNK = 1 << 16
-NULL_RANGES = 16
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -219,11 +218,10 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     n = buckets or shuffle_partitions(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    bounds = sorted({int(x) for x in src.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n)}) if n > 1 else []
-    below = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in bounds]), lambda x: x <= F.col("doc_id"))) if bounds else F.lit(0)
+    bounds = range_bounds(src, "doc_id", n)
     h = F.xxhash64("text")
     # ranges in order of descending id; null ids after them, by hash
-    place = F.when(F.col("doc_id").isNull(), F.shiftrightunsigned(h, 60).cast("int") + len(bounds) + 1).otherwise(F.lit(len(bounds)) - below)
+    place = F.when(F.col("doc_id").isNull(), F.shiftrightunsigned(h, 60).cast("int") + len(bounds) + 1).otherwise(F.lit(len(bounds)) - range_of(bounds, "doc_id"))
     rows = src.withColumn("_h", h).withColumn("_range", place.cast("int"))
     firsts = sorted(rows.groupBy("_range").agg(F.max(F.struct("doc_id", F.bitwise_not("_h").alias("h"))).alias("f"))
                     .select("_range", "f.doc_id", F.bitwise_not("f.h").alias("h")).collect())  # at most one row a range

@@ -20,6 +20,9 @@ The text is read in two narrow passes and never shuffled; the tables of
 domains, hosts and suffixes are joined by salted lookups, so one hot host
 spreads over many tasks.
 
+A row is accepted where ``other`` has less than half of the posterior; its
+language is then the likeliest known one, be it a close call.
+
 Edge cases: null and empty texts, and texts without letters, carry no text
 evidence and are not accepted (language null); null hosts, suffixes and
 declarations are no evidence; repeated rows each give a row; an empty table
@@ -33,11 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import hot_keys, lookup_join, materialize
+from corpusprep.llm.common import hot_keys, lookup_join, materialize, sealed
 
 LANGUAGES = ("de", "en", "es", "fr")
 STRENGTH = 20.0
-MIN_POSTERIOR = 0.5
+#: A row is accepted where the known languages together have this much posterior.
+MIN_KNOWN = 0.5
 #: Pseudo-count of a transition, and of an entry of the evidence tables.
 ALPHA = 0.05
 PSEUDO = 0.5
@@ -128,7 +132,7 @@ def _counts(n: int) -> Column:
 
 
 def identify(rows: DataFrame, model: np.ndarray, keep: list[str], languages=LANGUAGES,
-             min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+             min_known: float = MIN_KNOWN) -> DataFrame:
     """``keep`` plus ``language`` (null: none), ``posterior``, ``text_language``
     and ``accepted`` for each row of ``rows(*keep, declared, suffix, domain,
     host, text)``."""
@@ -188,10 +192,11 @@ def identify(rows: DataFrame, model: np.ndarray, keep: list[str], languages=LANG
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     score = add(add(F.col("_ll"), declared), add(F.coalesce("_sl", none), F.transform(prior, lambda p: F.log(p))))
     tags = F.array(*map(F.lit, [*languages, "other"]))
+    known = F.slice("_final", 1, len(languages))
     done = out.withColumn("_score", score).withColumn("_final", _softmax(F.col("_score"))) \
-        .withColumn("posterior", F.array_max("_final")) \
-        .withColumn("_best", F.get(tags, F.array_position("_final", F.col("posterior")).cast("int") - 1)) \
-        .withColumn("accepted", (F.col("_n") > 0) & (F.col("_best") != "other") & (F.col("posterior") >= min_posterior)) \
+        .withColumn("_known", known).withColumn("posterior", F.array_max("_known")) \
+        .withColumn("_best", F.get(tags, F.array_position("_known", F.col("posterior")).cast("int") - 1)) \
+        .withColumn("accepted", (F.col("_n") > 0) & (1 - F.get("_final", F.lit(k - 1)) >= min_known)) \
         .withColumn("language", F.when(F.col("accepted"), F.col("_best"))) \
         .withColumn("text_language", F.when(F.col("_n") > 0, F.get(tags, F.array_position("_post", F.array_max("_post")).cast("int") - 1)))
     return done.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
@@ -244,10 +249,11 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     host_col: str | None = "source") -> DataFrame:
     """``docs`` without the rows whose language is not accepted. A document's
     rows are named by id; rows with a null id are named by their text."""
+    src, (id_col, text_col, lang_col, host_col), restore = sealed(docs, id_col, text_col, lang_col, host_col)
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    keyed = docs.withColumn("_key", key)
+    keyed = src.withColumn("_key", key)
     rows = document_rows(keyed, "_key", text_col, lang_col, host_col)
     model = train_text_model(rows.select(F.col("declared").alias("lang"), "text"))
     found = identify(rows, model, ["doc_id"])
     drop = found.where(~F.col("accepted")).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(drop, "_key", "left_anti").select(*docs.columns)
+    return restore(keyed.join(drop, "_key", "left_anti"))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import materialize
+from corpusprep.llm.common import materialize, range_bounds, range_of
 
 ORDER = 2
 FOLDS = 7
@@ -234,10 +234,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("train", ~held_out("doc_id"))
     size = src.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0)), F.count(F.lit(1))).first()
     blocks = max(1, -(-int(size[0]) // block_bytes))
-    bounds = sorted({int(x) for x in src.approxQuantile("doc_id", [i / blocks for i in range(1, blocks)], 0.2 / blocks)}) if blocks > 1 and size[2] else []
+    bounds = range_bounds(src, "doc_id", blocks)
     # ranges of the id: files written in id order then hold few blocks each, so counts combine early
-    of_id = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
-    block = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(len(bounds) + 1))).otherwise(of_id).cast("long")
+    block = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(len(bounds) + 1))).otherwise(range_of(bounds, "doc_id")).cast("long")
     dealt = src.withColumn("block", block)
 
     keys = dealt.select("block", "train", "text").mapInArrow(_gather(order, blocks), "level int, shard int, block long, keys binary, counts binary")

@@ -21,8 +21,9 @@ source with a third of all rows is spread over as many tasks as any other.
 Edge cases: a null or white-space text has size 0 and takes nothing; a null
 source is a source of its own; a source of size 0 has target 0; repeated rows
 each count (ties in hash order are full copies of id, and take any order);
-a null id is ordered like the text "null"; an empty table gives no rows.
-Result columns replace input columns of the same name.
+a null id is ordered like the text "null"; an empty table gives no rows. Input
+columns of any name pass through ``mix_documents`` as they are; ``mix_report``
+reads id, text and source only.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import chained_sum, materialize
+from corpusprep.llm.common import chained_sum, materialize, sealed
 from corpusprep.operators.windows import row_number_within
 
 WEIGHTS = (1, 2, 3)
@@ -97,9 +98,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
              weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedules=SCHEDULES) -> DataFrame:
     """``docs`` plus ``size, source_size, target, taken`` and ``_rank, _before,
     _epochs, _extra``: whole epochs taken, and words of one more."""
-    own = ["size", "source_size", "target", "taken"]
-    base = docs.drop(*[c for c in own if c in docs.columns]) \
-        .withColumn("_source", F.col(source_col)).withColumn("size", word_count(F.col(text_col)))
+    base = docs.withColumn("_source", F.col(source_col)).withColumn("size", word_count(F.col(text_col)))
     sizes = base.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_repeats)
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
@@ -134,7 +133,8 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The training stream: a row of ``docs`` for each copy taken, range-sorted
     by training position. A document taken in part keeps its first words (and
     ``length_col``, if given, becomes the code points of the cut text)."""
-    plan = mix_plan(docs, id_col, text_col, source_col)
+    src, (id_col, text_col, source_col, length_col), restore = sealed(docs, id_col, text_col, source_col, length_col)
+    plan = mix_plan(src, id_col, text_col, source_col)
     copies = F.col("_epochs") + F.when(F.col("_extra") > 0, 1).otherwise(0)
     rows = plan.where((F.col("size") > 0) & (copies > 0)) \
         .withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
@@ -146,7 +146,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if length_col:
         rows = rows.withColumn(length_col, F.when(part, F.length(text_col).cast("long")).otherwise(F.col(length_col)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(n, "_position", id_col).sortWithinPartitions("_position", id_col).select(*docs.columns)
+    return restore(rows.repartitionByRange(n, "_position", id_col).sortWithinPartitions("_position", id_col))
 
 
 #: DuckDB SQL of ``mix_report`` with the parameters above.

@@ -25,15 +25,13 @@ import re
 from dataclasses import dataclass
 from itertools import product
 
+from re import _constants as sre
+from re import _parser as sre_parse
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-try:
-    from re import _constants as sre
-    from re import _parser as sre_parse
-except ImportError:  # before Python 3.11
-    import sre_constants as sre
-    import sre_parse
+from corpusprep.llm.common import sealed
 
 
 @dataclass(frozen=True)
@@ -171,12 +169,6 @@ def _java(regex: str) -> str:
     return regex.replace(r"\x20", "[ ]")
 
 
-def _rule_spans(text: Column, rule: Rule, rank: int) -> tuple[Column, Column]:
-    """The matches of a rule, and a function of them: its kept ``(start, kind, end)``."""
-    regex = F.lit(_java(rule.regex))
-    return F.regexp_extract_all(text, regex, F.lit(0)), regex
-
-
 def _placed(text: str, found: str, rule: Rule, rank: int) -> Column:
     """Spans of the kept matches in column ``found``: lengths summed from the left."""
     pattern = _java(rule.regex)
@@ -197,8 +189,9 @@ def _placed(text: str, found: str, rule: Rule, rank: int) -> Column:
 
 def with_secret_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
                       out: str = "secret_spans") -> DataFrame:
-    """``docs`` plus ``out``: array of ``(start, rank, end)`` by start, then rank
-    (the rule's place in ``rules``)."""
+    """``docs`` (columns but id and text must not begin with ``_``) plus ``out``:
+    array of ``(start, rank, end)`` by start, then rank (the rule's place in
+    ``rules``)."""
     cols = docs.columns
     found = [f"_found{i}" for i in range(len(rules))]
     keyed = docs.withColumn("_key", _key(docs, id_col, text_col))
@@ -234,11 +227,15 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secret_spans")).alias("spans"))
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", changed_col: str | None = None) -> DataFrame:
     """``docs`` with every span's text replaced by ``REDACTED`` (overlapping
-    spans by one); rows without spans are as they were."""
-    s = with_secret_spans(docs, id_col=id_col, text_col=text_col, out="_secret_spans")
-    text = F.col(f"`{text_col}`")
+    spans by one); rows without spans are as they were. ``changed_col`` is a
+    further column that says which rows had spans."""
+    if changed_col:
+        docs = docs.withColumn(changed_col, F.lit(False))
+    src, (id_col, text_col, changed), restore = sealed(docs, id_col, text_col, changed_col)
+    s = with_secret_spans(src, id_col=id_col, text_col=text_col, out="_secret_spans")
+    text = F.col(text_col)
     cut = F.aggregate(
         "_secret_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")),
         lambda a, x: F.struct(
@@ -246,7 +243,9 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             F.when(x["start"] >= a["pos"], F.concat(a["out"], F.substring(text, a["pos"] + 1, x["start"] - a["pos"]), F.lit(REDACTED)))
             .otherwise(a["out"]).alias("out")),
         lambda a: F.concat(a["out"], F.substring(text, a["pos"] + 1, F.lit(2 ** 31 - 1))))
-    return s.withColumn(text_col, F.when(F.size("_secret_spans") > 0, cut).otherwise(text)).select(*docs.columns)
+    hit = F.size("_secret_spans") > 0
+    out = s.withColumn(text_col, F.when(hit, cut).otherwise(text))
+    return restore(out.withColumn(changed, hit) if changed else out)
 
 
 def match_spans(text: str, rules=BASE_RULES) -> list[tuple[int, int, int]]:

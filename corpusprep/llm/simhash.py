@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import hot_keys, lookup_join, materialize, spread_hash
+from corpusprep.llm.common import hot_keys, lookup_join, materialize, sealed, spread_hash
 from corpusprep.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -155,9 +155,10 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          radius: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group: that of its smallest id (of rows
     repeating an id, one). Rows with a null id cannot be named and stay."""
-    groups = simhash_components(docs, id_col, text_col, shingle, radius)
+    src, (id_col, text_col), restore = sealed(docs, id_col, text_col)
+    groups = simhash_components(src, id_col, text_col, shingle, radius)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     one = Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
-    named = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi") \
-        .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    named = src.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi") \
+        .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
+    return restore(named.unionByName(src.where(F.col(id_col).isNull())))

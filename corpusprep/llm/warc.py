@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import hot_keys, lookup_join
+from corpusprep.llm.common import hot_keys, lookup_join, range_bounds, range_of
 
 TIME_RANGES = 64
 #: Query parameters that do not change a page, headers a
@@ -53,10 +53,10 @@ def canonical_url(url: Column) -> Column:
 
 
 def _lower_keys(headers: Column) -> Column:
-    pairs = F.transform(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
+    pairs = F.transform(F.array_sort(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))),
                         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     names = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
-    # of names that differ in case only, the first
+    # of names that differ in case only, the first in code point order
     return F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), F.get(F.filter(pairs, lambda e: e["key"] == n), F.lit(0))["value"].alias("value"))))
 
 
@@ -74,8 +74,7 @@ def resolve_revisits(records: DataFrame, time_ranges: int = TIME_RANGES) -> Data
     r = records.select(F.col("record_id").cast("long").alias("record_id"), "kind", canonical_url(F.col("url")).alias("canonical_url"),
                        F.col("time").cast("long").alias("time"), F.col("status").cast("int").alias("status"),
                        "etag", "last_modified", "digest", _lower_keys(F.col("headers")).alias("headers"))
-    bounds = sorted({int(x) for x in r.approxQuantile("time", [i / time_ranges for i in range(1, time_ranges)], 0.2 / time_ranges)})
-    place = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("time"))) if bounds else F.lit(0)
+    place = range_of(range_bounds(r, "time", time_ranges), "time")
     full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("time").isNotNull() & F.col("record_id").isNotNull()
     revisit = F.col("kind") == "revisit"
     # revisits without URL or time are kept apart, spread by id
