@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.operators.skew import hot_keys, materialize, salted_join
+
 # --- fixed values (must equal the studied tool's) -------------------------
 BATCH_SIZE = 64                      # images per model batch
-FEATURE_COMPRESSION = "gzip"         # feature store compression
 # ---------------------------------------------------------------------------
 
 
@@ -34,18 +35,37 @@ def decode_errors(df: DataFrame, col: str = "embedding", key: str = "key",
     return df.where(F.col(col).isNull()).select(key, p.alias("path"))
 
 
-def pending_features(df: DataFrame, stored_keys: DataFrame, key: str = "key",
-                     target_rows: int | None = None) -> DataFrame:
-    """Rows whose key is not in the feature store (per key, fixes D8).
+def pending_keys(df: DataFrame, stored_keys: DataFrame, key: str = "key") -> DataFrame:
+    """J7 on keys: ``(key, _n)`` of the keys not in the feature store (per key,
+    fixes D8). Only keys are shuffled."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.join(stored_keys.select(key).distinct(), key, "left_anti")
+
 
-    Keys with more than ``target_rows`` rows (copies of one image) are salted
-    over several tasks; the counts are a key-only partial aggregate.
+def pending_features(df: DataFrame, stored_keys: DataFrame, key: str = "key") -> DataFrame:
+    """Rows whose key is not in the feature store.
+
+    The pending keys are found without the inputs (vectors, images), then the
+    inputs of those keys are fetched in one salted semi-join.
     """
-    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, [key], "_n", target_rows or DEFAULT_TARGET_ROWS)
-    stored = stored_keys.select(F.col(key).alias("_sk")).distinct()
-    return salted_join(df, stored, [key], ["_sk"], "left_anti", hot)
+    pending = materialize(pending_keys(df, stored_keys, key), "pending")
+    lookup = pending.select(F.col(key).alias("_pk"))
+    return salted_join(df, lookup, [key], ["_pk"], "left_semi", hot_keys(pending, [key], "_n"))
+
+
+def one_per_key(df: DataFrame, key: str = "key") -> DataFrame:
+    """One row per key (rows of one key hold the same image), so none is scored
+    twice. Which one is fixed: the smallest row hash. The winner is found on
+    keys and hashes (a partial aggregate); rows are then filtered, not
+    collected into an aggregate."""
+    from corpusprep.operators.windows import row_tiebreak
+    tagged = df.withColumn("_tag", row_tiebreak(df))
+    best = materialize(tagged.groupBy(key).agg(F.min("_tag").alias("_best"), F.count(F.lit(1)).alias("_n")), "one-per-key")
+    lookup = best.select(F.col(key).alias("_pk"), "_best")
+    kept = salted_join(tagged, lookup, [key], ["_pk"], "left_semi", hot_keys(best, [key], "_n"),
+                       extra=F.col("_tag") == F.col("_best")).drop("_tag")
+    # full copies read by one task share a tag; they are few and alike
+    return kept.dropDuplicates([key])
 
 
 def cls_token(tokens) -> Column:
@@ -114,15 +134,33 @@ def score_model(df: DataFrame, make_predict_fn, n_in: int, input_col: str = "emb
 def extract_embeddings(df: DataFrame, stored_keys: DataFrame | None, make_predict_fn, n_in: int,
                        input_col: str = "embedding", key: str = "key",
                        pool_fn=None, out_col: str = "feature") -> DataFrame:
-    """drop undecodable -> skip stored keys -> score -> pool -> ``(key, feature)``."""
-    todo = drop_undecodable(df, input_col)
+    """drop undecodable -> skip stored keys -> one row per key -> score -> pool -> ``(key, feature)``."""
+    todo = drop_undecodable(df, input_col).select(key, input_col)
     if stored_keys is not None:
         todo = pending_features(todo, stored_keys, key)
-    scored = score_model(todo, make_predict_fn, n_in, input_col, "_out")
+    scored = score_model(one_per_key(todo, key), make_predict_fn, n_in, input_col, "_out")
     feat = pool_fn(F.col("_out")) if pool_fn is not None else F.col("_out")
     return scored.select(key, feat.alias(out_col))
 
 
+def image_pixels(images: DataFrame, data_col: str = "data") -> DataFrame:
+    """Decoded image bytes (S11: one byte a channel value) as ``px``, an array of
+    numbers 0-255; null for undecodable files."""
+    n = F.octet_length(data_col)
+    byte = lambda i: F.conv(F.hex(F.substring(F.col(data_col), i, 1)), 16, 10).cast("int")
+    px = F.transform(F.sequence(F.lit(1), n), byte)
+    return images.withColumn("px", F.when(F.col("valid") & (n > 0), px))
+
+
+def embed_images(images: DataFrame, stored_keys: DataFrame | None, make_predict_fn, n_in: int,
+                 mean=(0.5,), std=(0.5,), pool_fn=None) -> DataFrame:
+    """F4 from image files (S11 rows): decode -> normalise -> skip stored keys ->
+    score -> pool -> ``(key, feature)``, one vector per key."""
+    ready = image_pixels(images).where(F.col("px").isNotNull()) \
+        .select("key", normalize_pixels("px", mean, std).alias("input"))
+    return extract_embeddings(ready, stored_keys, make_predict_fn, n_in, "input", "key", pool_fn)
+
+
 def feature_summary(df: DataFrame, col: str = "feature", head: int = 10) -> DataFrame:
     """Vector length, first ``head`` and last ``head`` values."""
     v = F.col(col)

@@ -4,11 +4,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
 from corpusprep.functions import policy as P
+from corpusprep.operators.skew import hot_keys, materialize, salted_join
 
 
 def member_keys(archive: DataFrame, name_col: str = "name", rule: str = "last_suffix") -> DataFrame:
@@ -18,23 +21,28 @@ def member_keys(archive: DataFrame, name_col: str = "name", rule: str = "last_su
     return archive.withColumn("key", f(name_col))
 
 
-def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "ord",
-                  target_rows: int | None = None) -> DataFrame:
-    """The first archive entry (smallest ``order``) of each key.
+def _first(members: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """Per key the first member by ``(order, name)`` and the member count,
+    written once: both the join and its hot keys read it."""
+    return materialize(members.groupBy(*keys).agg(F.min(F.struct(order, name)).alias("_first"), F.count(F.lit(1)).alias("_n")), "first")
+
+
+def first_members(archive: DataFrame, key_cols=("shard", "key"), order: str = "ord", name_col: str = "name") -> DataFrame:
+    """The first archive entry of each key: smallest ``order``, then name.
 
     The winner is found on keys only (a partial aggregate, combined map-side,
     so copies of one key collapse before the shuffle); the payload rows are
-    then kept with one salted semi-join on the keys, ``ord <= first`` being a
-    residual. Payload rows never enter an aggregate buffer, and a member
-    repeated millions of times is spread over several tasks.
+    then kept with one salted semi-join on the keys, ``(order, name) = first``
+    being a residual. Payload rows never enter an aggregate buffer, and a
+    member repeated millions of times is spread over several tasks. Entries
+    that tie in both (full copies of one entry) all stay.
     """
-    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     keys = list(key_cols)
-    first = archive.groupBy(*keys).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(first, keys, "_n", target_rows or DEFAULT_TARGET_ROWS)  # copies of one member: salted
-    first = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
-    return salted_join(archive, first, keys, [f"_k_{k}" for k in keys], "left_semi", hot,
-                       extra=F.col(order) <= F.col("_first"))
+    first = _first(archive, keys, order, name_col)
+    hot = hot_keys(first, keys, "_n")
+    lookup = first.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
+    return salted_join(archive, lookup, keys, [f"_k_{k}" for k in keys], "left_semi", hot,
+                       extra=F.struct(order, name_col) == F.col("_first"))
 
 
 def attach_payload(df: DataFrame, data_col: str = "data", marker: str = "marker") -> DataFrame:
@@ -45,30 +53,29 @@ def attach_payload(df: DataFrame, data_col: str = "data", marker: str = "marker"
 
 
 def join_metadata_blobs(samples: DataFrame, archive: DataFrame, order: str = "src_order",
-                        name_col: str = "name", target_rows: int | None = None) -> DataFrame:
+                        name_col: str = "name") -> DataFrame:
     """Metadata ⨝ archive members on (shard, key).
 
     Repeated metadata keys: the last row in source order wins (A7). Repeated
-    members: the first in archive order wins (W4). Unmatched rows on either
-    side are dropped.
-
-    Everything but the payload is key-level: the first member's ``ord`` per
-    key (partial aggregate) is joined with the deduplicated metadata into one
-    lookup row per key. The payload rows then meet that lookup in a single
-    salted join (``ord <= first`` as a residual): the payload is shuffled once,
-    and copies of one member never pile into one task.
+    members: the first in archive order wins, then by name (W4). Unmatched
+    rows on either side are dropped.
+
+    Everything but the payload is key-level: the first member per key (partial
+    aggregate) is joined with the deduplicated metadata into one lookup row
+    per key. The payload rows then meet that lookup in a single salted join
+    (``(ord, name) = first`` as a residual): the payload is shuffled once, and
+    copies of one member never pile into one task.
     """
     from corpusprep.operators.samples import dedupe_last
-    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     keys = ["shard", "key"]
     meta = dedupe_last(samples, keys, order) if order in samples.columns else samples
     members = member_keys(archive.select("shard", name_col, "ord", "data"), name_col)
-    first = members.groupBy(*keys).agg(F.min("ord").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(first, keys, "_n", target_rows or DEFAULT_TARGET_ROWS)
+    first = _first(members, keys, "ord", name_col)
+    hot = hot_keys(first, keys, "_n")
     lookup = first.join(meta, keys, "inner").drop("_n")
     lookup = lookup.select(*[F.col(c).alias(f"_m_{c}") for c in lookup.columns])
     out = salted_join(members, lookup, keys, [f"_m_{k}" for k in keys], "inner", hot,
-                      extra=F.col("ord") <= F.col("_m__first"))
+                      extra=F.struct("ord", name_col) == F.col("_m__first"))
     meta_cols = [c for c in meta.columns if c not in keys]
     return out.select(*keys, *[F.col(f"_m_{c}").alias(c) for c in meta_cols],
                       F.col(name_col).alias("member"), "data")
@@ -92,16 +99,27 @@ def variance_p95(colvar: DataFrame, id_col: str = "id", q: float = P.GATE_PERCEN
     return colvar.groupBy(id_col).agg(F.percentile("cv", q).alias("p95"))
 
 
-def quality_gate(pixels: DataFrame, sizes: DataFrame, id_col: str = "id",
-                 min_bytes: int = P.GATE_MIN_BYTES, min_variance: float = P.GATE_MIN_VARIANCE,
-                 bytes_col: str = "n_bytes") -> DataFrame:
+def column_variance_p95(rows_col: str, q: float = P.GATE_PERCENTILE) -> Column:
+    """A5 + A6 on the row: percentile of the column variances of one decoded
+    image (``array<array>`` of gray rows, all of one width). All of an image's
+    pixels are in its row, so nothing is shuffled; null where there are none."""
+    @F.pandas_udf("double")
+    def p95(images: pd.Series) -> pd.Series:
+        def one(rows):
+            if rows is None or len(rows) == 0 or len(rows[0]) == 0:
+                return None
+            return float(np.percentile(np.stack([np.asarray(r, np.float64) for r in rows]).var(axis=0), 100 * q))
+        return images.map(one).astype("float64")
+    return p95(F.col(rows_col))
+
+
+def quality_gate(images: DataFrame, rows_col: str = "rows", min_bytes: int = P.GATE_MIN_BYTES,
+                 min_variance: float = P.GATE_MIN_VARIANCE, bytes_col: str = "n_bytes") -> DataFrame:
     """Keep an image unless it is small (< ``min_bytes``) *and* flat
-    (p95 of column variance < ``min_variance``). Returns ``sizes`` rows kept,
-    with ``p95``; images without pixels are dropped (nothing to decode)."""
-    p95 = variance_p95(column_variance(pixels, id_col), id_col)
-    j = sizes.join(p95, id_col, "inner")
-    garbage = (F.col(bytes_col) < min_bytes) & (F.col("p95") < min_variance)
-    return j.where(~garbage)
+    (p95 of column variance < ``min_variance``). Adds ``p95``; images without
+    pixels are dropped (nothing to decode). One pass, no shuffle."""
+    scored = images.withColumn("p95", column_variance_p95(rows_col)).where(F.col("p95").isNotNull())
+    return scored.where(~((F.col(bytes_col) < min_bytes) & (F.col("p95") < min_variance)))
 
 
 def recompress_plan(images: DataFrame, compress: int | None = P.DEFAULT_QUALITY,
@@ -122,10 +140,19 @@ def recompress_plan(images: DataFrame, compress: int | None = P.DEFAULT_QUALITY,
 
 
 def archive_index(archive: DataFrame, name_col: str = "name") -> DataFrame:
-    """U5 / S6 shape: (member, archive) pairs over all archives."""
+    """S6 shape: (member, archive) pairs over all archives."""
     return archive.select(F.col(name_col).alias("member"), F.col("shard").alias("archive"))
 
 
+def union_index(*indexes: DataFrame) -> DataFrame:
+    """Several ``(member, archive)`` indexes (of archive sets read apart) as
+    one, each pair once; nulls are kept."""
+    out = indexes[0]
+    for other in indexes[1:]:
+        out = out.unionByName(other)
+    return out.distinct()
+
+
 def dedupe_members(index: DataFrame) -> DataFrame:
     """One archive per member, last wins; archive order is by name here
     (the studied tool's order came from a set, so ties break by name)."""
@@ -133,30 +160,20 @@ def dedupe_members(index: DataFrame) -> DataFrame:
 
 
 def keys_per_archive(index: DataFrame) -> DataFrame:
-    """A3: archive -> its member count and first / last member.
-
-    A full ``collect_list`` of a 27,000-member archive is exactly what should
-    not be built in one task at scale; the inverse map (member -> archive) is
-    :func:`dedupe_members`, and the per-archive list is summarised by its
-    algebraic aggregates.
-    """
-    return index.groupBy("archive").agg(
-        F.count(F.lit(1)).alias("n_members"),
-        F.min("member").alias("first_member"),
-        F.max("member").alias("last_member"),
-    )
+    """A3: archive -> its members, as rows ``(archive, member, pos)`` sorted by
+    member (``pos`` from 1). The mapping as rows, not as one list per archive:
+    no task has to hold an archive's list, however long."""
+    from corpusprep.operators.windows import row_number_within
+    return row_number_within(index.select("archive", "member"), ["archive"], ["member"], "pos")
 
 
-def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key",
-                  target_rows: int | None = None) -> DataFrame:
+def locate_member(keys: DataFrame, index: DataFrame, key_col: str = "key") -> DataFrame:
     """Key -> its archive (null when not in any archive).
 
     Members are reduced to their key first (``split('/')[-1].split('.')[0]``)
     and deduplicated last-wins per key before the join.
     """
-    from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
     idx = index.withColumn("_k", K.stem_first_dot("member")) \
         .groupBy("_k").agg(F.max("archive").alias("archive"))
-    counts = keys.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, [key_col], "_n", target_rows or DEFAULT_TARGET_ROWS)
-    return salted_join(keys, idx, [key_col], ["_k"], "left", hot).drop("_k")
+    counts = materialize(keys.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    return salted_join(keys, idx, [key_col], ["_k"], "left", hot_keys(counts, [key_col], "_n")).drop("_k")

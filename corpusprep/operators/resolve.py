@@ -12,10 +12,12 @@ join's partitioning: no extra exchange.
 
 Hot keys (one URL repeated a hundred million times) never reach a join as
 copies: the key-level work runs on the ``(key, marker, ext)`` counts, which
-are combined map-side before the shuffle. Copies meet the resolved table only
-on the way back to the samples, in salted joins (:mod:`.skew`): a key with
-more than ``target_rows`` samples is spread over ``ceil(n / target_rows)``
-tasks, the hot set being read off the same counts.
+are combined map-side before the shuffle, and is written once under the
+checkpoint folder. Counts, hot keys and the joins back to the samples all read
+that table, so no plan repeats the lineage of its inputs. Copies meet the
+resolved table only on the way back to the samples, in salted joins
+(:mod:`.skew`). Bytes are joined last: one row per stored object where the
+caller wants objects (:func:`fetch_objects`), or one per sample.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
-from corpusprep.operators.skew import DEFAULT_TARGET_ROWS, hot_keys, salted_join
+from corpusprep.operators.skew import hot_keys, materialize, salted_join, total_of
 
 _WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -43,21 +45,34 @@ def candidate_keys(df: DataFrame) -> DataFrame:
 
 
 def _listing(store: DataFrame, name: str = "object_key") -> DataFrame:
-    """Store listing keyed by the sample key inside each path (payload dropped)."""
+    """Store listing keyed by the sample key inside each path (payload
+    dropped). Paths of any other form match no candidate and are left out, so
+    they never pile up under one empty key."""
     return store.select(F.col(name).alias("_obj")).where(F.col("_obj").isNotNull()) \
-        .withColumn("_hk", K.key_of_object("_obj"))
+        .withColumn("_hk", K.key_of_object("_obj")).where(F.col("_hk") != "")
 
 
-def _distinct_triples(samples: DataFrame) -> DataFrame:
-    """One row per ``(key, marker, ext)`` with its sample count ``_n`` (a
-    partial aggregate: copies are combined before the shuffle)."""
-    return samples.where(F.col("key").isNotNull()).groupBy("key", "marker", "ext") \
-        .agg(F.count(F.lit(1)).alias("_n")) \
-        .withColumn("_canon", K.canonical_key("key", "marker")) \
-        .withColumn("_alt", K.alternate_key("key", "marker", "ext"))
+TRIPLE = ["key", "marker", "ext"]
 
 
-def resolve_keys(samples: DataFrame, store: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+def distinct_triples(samples: DataFrame) -> DataFrame:
+    """One row per ``(key, marker, ext)`` with its sample count ``_n``, written
+    once (a partial aggregate: copies are combined before the shuffle)."""
+    return materialize(samples.where(F.col("key").isNotNull()).groupBy(*TRIPLE)
+                       .agg(F.count(F.lit(1)).alias("_n"))
+                       .withColumn("_canon", K.canonical_key("key", "marker"))
+                       .withColumn("_alt", K.alternate_key("key", "marker", "ext")), "triples")
+
+
+def _in_shards_of(listing: DataFrame, triples: DataFrame, key_col: str = "_hk") -> DataFrame:
+    """The part of a listing that lies in the shards of ``triples``: a run over
+    one range of shards never shuffles the rest of the store. (The shard names
+    are a small distinct set; AQE broadcasts it once measured.)"""
+    shards = triples.select(K.derive_shard("key").alias("_shard")).distinct()
+    return listing.join(shards, K.derive_shard(key_col) == F.col("_shard"), "left_semi")
+
+
+def resolve_triples(triples: DataFrame, store: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     """Key-level resolution: ``(key, marker, ext) -> (object_key, hit_ord)``.
 
     ``hit_ord`` is the ord of the first candidate present in ``store`` (null
@@ -65,65 +80,77 @@ def resolve_keys(samples: DataFrame, store: DataFrame, allowed: DataFrame | None
     With ``allowed`` (a one-column ``object_key`` table), only candidates
     named there count (repair: retry only logged keys).
     """
-    t = _distinct_triples(samples)
-    lst = _listing(store)
+    lst = _in_shards_of(_listing(store), triples)
     if allowed is not None:
         lst = lst.join(allowed.select(F.col("object_key").alias("_obj")).distinct(), "_obj", "left_semi")
+    t = triples
     hit = t.join(lst, (t.key == lst._hk) & lst._obj.isin(t._canon, t._alt), "left") \
         .withColumn("_ord", F.when(F.col("_obj") == F.col("_canon"), F.lit(0))
                     .when(F.col("_obj") == F.col("_alt"), F.lit(1)))
-    best = hit.groupBy("key", "marker", "ext", "_canon", "_alt", "_n").agg(F.min("_ord").alias("hit_ord"))
+    best = hit.groupBy(*TRIPLE, "_canon", "_alt", "_n").agg(F.min("_ord").alias("hit_ord"))
     return best.select(
-        "key", "marker", "ext", F.col("_canon").alias("canonical"),
+        *TRIPLE, F.col("_canon").alias("canonical"),
         F.when(F.col("hit_ord") == 1, F.col("_alt")).otherwise(F.col("_canon")).alias("object_key"),
         "hit_ord", "_n",
     )
 
 
-TRIPLE = ["key", "marker", "ext"]
+def resolve_keys(samples: DataFrame, store: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """:func:`resolve_triples` of the samples' distinct triples."""
+    return resolve_triples(distinct_triples(samples), store, allowed)
+
 
+def _attach(samples: DataFrame, res: DataFrame, triples: DataFrame, how: str) -> DataFrame:
+    """Join a key-level table back to the samples (copies included); hot keys
+    are counted over *all* triples, so copies without a match spread too."""
+    r = res.select(*[F.col(c).alias(f"_r_{c}") for c in TRIPLE],
+                   *[c for c in res.columns if c not in (*TRIPLE, "_n", "_canon", "_alt")])
+    hot = hot_keys(triples, TRIPLE, "_n")
+    out = salted_join(samples, r, TRIPLE, [f"_r_{c}" for c in TRIPLE], how, hot)
+    return out.drop(*[f"_r_{c}" for c in TRIPLE])
 
-def _attach_resolution(samples: DataFrame, res: DataFrame,
-                       target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Join the key-level resolution back to every sample (copies included);
-    keys with more than ``target_rows`` samples are salted over several tasks.
 
-    The hot set is read off the triple counts - the same plan as inside
-    :func:`resolve_keys`, so Spark reuses that shuffle instead of recomputing
-    the resolution."""
-    r = res.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"),
-                   "canonical", "object_key", "hit_ord")
-    hot = hot_keys(_distinct_triples(samples), TRIPLE, "_n", target_rows)
-    return salted_join(samples, r, TRIPLE, ["_rk", "_rm", "_re"], "left", hot).drop("_rk", "_rm", "_re")
+def _attach_bytes(resolved: DataFrame, res: DataFrame, store: DataFrame, data_col: str) -> DataFrame:
+    """Payload of each sample's object (found rows only), salted by object."""
+    per_object = res.groupBy("object_key").agg(F.sum("_n").alias("_n"))
+    hot = hot_keys(per_object, ["object_key"], "_n", total_of(res))
+    payload = _in_shards_of(store.select(F.col("object_key").alias("_pk"), F.col(data_col).alias("_data"))
+                            .withColumn("_hk", K.key_of_object("_pk")), res).drop("_hk")
+    out = salted_join(resolved, payload, ["object_key"], ["_pk"], "left", hot, extra=F.col("found"))
+    return out.drop("_pk", "hit_ord", "canonical").withColumnRenamed("_data", data_col)
 
 
-def object_exists(samples: DataFrame, store: DataFrame,
-                  target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+def object_exists(samples: DataFrame, store: DataFrame) -> DataFrame:
     """Samples plus ``exists`` - is any candidate in the store."""
-    res = resolve_keys(samples, store)
-    return _attach_resolution(samples, res, target_rows).withColumn("exists", F.col("hit_ord").isNotNull()) \
+    trip = distinct_triples(samples)
+    res = materialize(resolve_triples(trip, store), "resolved")
+    return _attach(samples, res, trip, "left").withColumn("exists", F.col("hit_ord").isNotNull()) \
         .drop("canonical", "object_key", "hit_ord")
 
 
 def resolve_objects(samples: DataFrame, store: DataFrame, data_col: str = "data",
-                    allowed: DataFrame | None = None,
-                    target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                    allowed: DataFrame | None = None) -> DataFrame:
     """For each sample, the first candidate that exists, else (canonical, null).
 
     Adds ``object_key``, ``found`` and the payload column ``data_col``. The
-    payload is joined last, once, on the resolved path (found rows only).
-    Both joins back to the samples salt keys / objects with more than
-    ``target_rows`` samples; the counts come from the key-level table, so
-    finding them costs no extra pass over the samples.
+    payload is joined last, on the resolved path (found rows only).
     """
-    res = resolve_keys(samples, store, allowed)
-    out = _attach_resolution(samples, res, target_rows).withColumn("found", F.col("hit_ord").isNotNull())
-    # all resolved paths count (not-found copies shuffle on their canonical path too)
-    per_object = res.groupBy("object_key").agg(F.sum("_n").alias("_n"))
-    hot = hot_keys(per_object, ["object_key"], "_n", target_rows)
-    payload = store.select(F.col("object_key").alias("_pk"), F.col(data_col).alias("_data"))
-    out = salted_join(out, payload, ["object_key"], ["_pk"], "left", hot, extra=F.col("found"))
-    return out.drop("_pk", "hit_ord", "canonical").withColumnRenamed("_data", data_col)
+    trip = distinct_triples(samples)
+    res = materialize(resolve_triples(trip, store, allowed), "resolved")
+    out = _attach(samples, res, trip, "left").withColumn("found", F.col("hit_ord").isNotNull())
+    return _attach_bytes(out, res, store, data_col)
+
+
+def fetch_objects(resolution: DataFrame, store: DataFrame, data_col: str = "data") -> DataFrame:
+    """``(shard, object_key, data)`` of every resolved object, once, for the
+    blob sinks: the paths are made distinct before the bytes are joined, so
+    bytes cross one exchange and no aggregate. Empty objects are left out (an
+    empty payload is a failure, as in the studied tool)."""
+    objects = materialize(resolution.where("hit_ord is not null")
+                          .select(K.derive_shard("key").alias("shard"), "object_key").distinct(), "objects")
+    payload = store.select(F.col("object_key").alias("_pk"), F.col(data_col))
+    return objects.join(payload, F.col("object_key") == F.col("_pk")) \
+        .where(F.length(data_col) > 0).select("shard", "object_key", data_col)
 
 
 def split_success_failure(resolved: DataFrame, data_col: str = "data") -> DataFrame:
@@ -133,12 +160,10 @@ def split_success_failure(resolved: DataFrame, data_col: str = "data") -> DataFr
     return resolved.withColumn("status", F.when(ok, F.lit("stored")).otherwise(F.lit("error")))
 
 
-def successes(resolved: DataFrame, data_col: str = "data") -> DataFrame:
+def successes(samples: DataFrame, store: DataFrame, data_col: str = "data") -> DataFrame:
     """Stored half of P11: ``(shard, object_key, data)`` for the blob sink, one
     row per path (samples that share an object store it once)."""
-    s = split_success_failure(resolved, data_col)
-    return s.where(F.col("status") == "stored").select("shard", "object_key", data_col) \
-        .dropDuplicates(["shard", "object_key"])
+    return fetch_objects(materialize(resolve_keys(samples, store), "resolved"), store, data_col)
 
 
 def failures(resolved: DataFrame, data_col: str = "data") -> DataFrame:
@@ -147,52 +172,71 @@ def failures(resolved: DataFrame, data_col: str = "data") -> DataFrame:
     return s.where(F.col("status") == "error").select("shard", "object_key")
 
 
+def _missing_triples(triples: DataFrame, archive: DataFrame, store: DataFrame, name_col: str) -> DataFrame:
+    """The triples with no candidate among the members of their shard's archive
+    and some candidate in the store. A member only counts for its own shard's
+    archive: a filter on the members (their key's first characters), not a
+    second join key."""
+    members = archive.select("shard", F.col(name_col).alias("_obj")).where(F.col("_obj").isNotNull()) \
+        .withColumn("_hk", K.key_of_object("_obj")) \
+        .where((F.col("_hk") != "") & (F.col("shard") == K.derive_shard("_hk"))).select("_obj", "_hk")
+    t = triples
+    absent = t.join(members, (t.key == members._hk) & members._obj.isin(t._canon, t._alt), "left_anti")
+    lst = _in_shards_of(_listing(store), triples)
+    return absent.join(lst, (absent.key == lst._hk) & lst._obj.isin(absent._canon, absent._alt), "left_semi")
+
+
 def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
-                 name_col: str = "name", target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                 name_col: str = "name") -> DataFrame:
     """Samples with no candidate among the members of their shard's archive
     *and* some candidate in the store (anti-join per sample, not per candidate).
 
     The decision depends only on ``(key, marker, ext)``: it is made on the
     distinct triples (copies of a hot key collapse map-side), with the anti
-    and the semi join co-partitioned on the key; one semi-join then returns
-    the answer to every sample (AQE may split a hot key there).
-
-    A member only counts for its own shard's archive. Since a sample's shard
-    is its key's first characters, that is a filter on the members
-    (``shard = substring(key inside the path)``), not a second join key.
+    and the semi join co-partitioned on the key; one salted semi-join then
+    returns the answer to every sample.
     """
-    members = archive.select("shard", F.col(name_col).alias("_obj")).where(F.col("_obj").isNotNull()) \
-        .withColumn("_hk", K.key_of_object("_obj")) \
-        .where(F.col("shard") == K.derive_shard("_hk")).select("_obj", "_hk")
-    t = _distinct_triples(samples)
-    absent = t.join(members, (t.key == members._hk) & members._obj.isin(t._canon, t._alt), "left_anti")
-    lst = _listing(store)
-    present = absent.join(lst, (absent.key == lst._hk) & lst._obj.isin(absent._canon, absent._alt),
-                          "left_semi")
-    p = present.select(F.col("key").alias("_rk"), F.col("marker").alias("_rm"), F.col("ext").alias("_re"))
-    # hot keys from *all* triples: copies of a key that is not missing must not
-    # pile into one task on their way to finding no match
-    hot = hot_keys(t, TRIPLE, "_n", target_rows)
-    return salted_join(samples, p, TRIPLE, ["_rk", "_rm", "_re"], "left_semi", hot)
+    trip = distinct_triples(samples)
+    return _attach(samples, _missing_triples(trip, archive, store, name_col).select(*TRIPLE), trip, "left_semi")
 
 
 def shards_with_archive(samples: DataFrame, archive: DataFrame) -> DataFrame:
-    """J9 first step: only shards that have an archive are audited (the shard
-    set has at most 4,096 names: a bounded broadcast, so a hot shard is never
+    """J9 first step: only shards that have an archive are audited (valid shard
+    names only: at most 4,096, a bounded broadcast, so a hot shard is never
     shuffled)."""
-    return samples.join(F.broadcast(archive.select("shard").distinct()), "shard", "left_semi")
+    return samples.join(F.broadcast(archive.select("shard").where(K.is_shard_name("shard")).distinct()),
+                        "shard", "left_semi")
+
+
+def _audited(samples: DataFrame, archive: DataFrame, shards, kinds, predicate) -> DataFrame:
+    from corpusprep.operators import samples as S
+    if shards is not None:
+        samples = samples.where(F.col("shard").isin(*sorted(set(shards))))
+    if kinds is not None:
+        samples = S.filter_kind(samples, kinds)
+    return shards_with_archive(S.filter_user(samples, predicate), archive)
 
 
-def audit_shards(samples: DataFrame, archive: DataFrame, store: DataFrame,
-                 data_col: str = "data") -> DataFrame:
+def audit_shards(samples: DataFrame, archive: DataFrame, store: DataFrame, data_col: str = "data",
+                 shards: list[str] | None = None, kinds=None, predicate=None) -> DataFrame:
     """Shard must have an archive, then J3, then fetch (found rows only).
 
-    The result is what the audit stores under ``<shard>_missing``.
+    An audit may name its own shard set, kinds and user filter (D4). The keys
+    are resolved once: the missing triples are what the fetch looks up.
     """
-    audited = shards_with_archive(samples, archive)
-    missing = find_missing(audited, archive, store)
-    fetched = resolve_objects(missing, store, data_col)
-    return fetched.where(F.col("found") & (F.length(F.col(data_col)) > 0))
+    audited = _audited(samples, archive, shards, kinds, predicate)
+    trip = distinct_triples(audited)
+    res = materialize(resolve_triples(_missing_triples(trip, archive, store, "name"), store), "resolved")
+    out = _attach(audited, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
+    return _attach_bytes(out, res, store, data_col).where(F.col("found") & (F.length(F.col(data_col)) > 0))
+
+
+def audit_objects(samples: DataFrame, archive: DataFrame, store: DataFrame, data_col: str = "data",
+                  shards: list[str] | None = None, kinds=None, predicate=None) -> DataFrame:
+    """J9 for its sink (K6): the missing objects, one row per path."""
+    trip = distinct_triples(_audited(samples, archive, shards, kinds, predicate))
+    res = materialize(resolve_triples(_missing_triples(trip, archive, store, "name"), store), "resolved")
+    return fetch_objects(res, store, data_col)
 
 
 def scan_error_lines(err: DataFrame, line_col: str = "line") -> DataFrame:
@@ -229,21 +273,30 @@ def error_stats(err: DataFrame, archive: DataFrame, name_col: str = "name",
         .distinct()
     j = lines.join(members, ["shard", "object_key"], "left")
     return j.agg(
-        F.sum("_c").cast("bigint").alias("n_lines"),
+        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.sum(F.when(F.col("_in"), F.col("_c"))), F.lit(0)).cast("bigint").alias("n_stale"),
         F.count_distinct(F.when(F.col("_in").isNull(), F.col("object_key"))).alias("n_errors"),
     )
 
 
+def _retried(samples: DataFrame, store: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The samples' triples, and the resolution of those with a logged candidate."""
+    allowed = errors.select("object_key").distinct()
+    trip = distinct_triples(samples)
+    cands = trip.select("*", F.explode(F.array("_canon", "_alt")).alias("object_key"))
+    retry = cands.join(allowed, "object_key", "left_semi").select(*trip.columns).distinct()
+    return trip, materialize(resolve_triples(retry, store, allowed), "resolved")
+
+
 def repair_candidates(samples: DataFrame, store: DataFrame, errors: DataFrame,
                       data_col: str = "data") -> DataFrame:
     """Retry only samples with a candidate named in the error set; among
     those candidates the first that exists wins, else (canonical, null)."""
-    allowed = errors.select("object_key").distinct()
-    trip = _distinct_triples(samples)
-    cands = candidate_keys(trip.select(*TRIPLE, "_n"))
-    retry = cands.join(allowed, "object_key", "left_semi").select(*TRIPLE, "_n").distinct()
-    hot = hot_keys(trip, TRIPLE, "_n", DEFAULT_TARGET_ROWS)
-    todo = salted_join(samples, retry.select(*[F.col(c).alias(f"_r{c}") for c in TRIPLE]), TRIPLE,
-                       [f"_r{c}" for c in TRIPLE], "left_semi", hot)
-    return resolve_objects(todo, store, data_col, allowed=allowed)
+    trip, res = _retried(samples, store, errors)
+    out = _attach(samples, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
+    return _attach_bytes(out, res, store, data_col)
+
+
+def repaired_objects(samples: DataFrame, store: DataFrame, errors: DataFrame, data_col: str = "data") -> DataFrame:
+    """J6 for its sink (K5): what the retry found, one row per path, no empty payloads."""
+    return fetch_objects(_retried(samples, store, errors)[1], store, data_col)

@@ -42,6 +42,13 @@ def create_samples(df: DataFrame, url: str = URL_COL, strict: bool = True) -> Da
     return out.withColumn("shard", K.derive_shard("key"))
 
 
+def split_rejects(df: DataFrame, url: str = URL_COL) -> tuple[DataFrame, DataFrame]:
+    """``(rows with a URL, rows without)``: one bad row need not stop a job of a
+    hundred million. Both are filters of the same scan."""
+    return df.where(F.col(url).isNotNull()), df.where(F.col(url).isNull()) \
+        .withColumn("reason", F.lit(f"null {url}"))
+
+
 def filter_kind(df: DataFrame, kinds=(0, 1), marker: str = "marker") -> DataFrame:
     """Keep rows whose marker is one of ``kinds`` (names or codes)."""
     return df.where(F.col(marker).isin(K.kinds_to_codes(kinds)))
@@ -87,13 +94,16 @@ def prepare_metadata(df: DataFrame, kinds=(0, 1), predicate=None,
     return out
 
 
-def sort_by_key(df: DataFrame) -> DataFrame:
+def sort_by_key(df: DataFrame, position: str | None = None) -> DataFrame:
     """O1: cluster by shard, sort each partition by (shard, key).
 
     Range partitioning (with a per-row tiebreak) keeps a shard's rows in
-    contiguous key order across tasks; a hot shard spans several tasks.
+    contiguous key order across tasks; a hot shard spans several tasks. With
+    ``position``, each row also gets its 1-based place in its shard.
     """
-    from corpusprep.operators.windows import cluster_sorted
+    from corpusprep.operators.windows import cluster_sorted, row_number_within
+    if position is not None:
+        return row_number_within(df, ["shard"], ["key"], position)
     return cluster_sorted(df, ["shard", "key"])
 
 

@@ -16,7 +16,6 @@ from corpusprep.plans.oracle import with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-ORACLE_SPARK: dict[str, str] = {}
 
 
 def register(name: str, views=(), sql: str | None = None):
@@ -27,7 +26,6 @@ def register(name: str, views=(), sql: str | None = None):
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = with_views(views, sql, "duckdb")
-            ORACLE_SPARK[name] = with_views(views, sql, "spark")
         return fn
     return deco
 

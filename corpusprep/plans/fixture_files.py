@@ -1,4 +1,5 @@
-"""Per-shard file writers run inside tasks (zip shards, image files).
+"""Fixture files: zip shards and image files made from the driver tables, so that
+the archive and image sources have something to read. Not part of the library.
 
 Rows are clustered by shard and sorted inside each task, then streamed into
 one file per shard with ``mapInPandas``: memory per task is one Arrow batch,
@@ -14,13 +15,38 @@ from pyspark.sql import functions as F
 REPORT_SCHEMA = "shard string, path string, n_members bigint"
 
 
+class _Replacing:
+    """A local file written under a temporary name and renamed when it is
+    complete: two attempts of one task never write into one file."""
+
+    def __init__(self, path: str):
+        import os
+        import uuid
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        self.path, self.temporary = path, f"{os.path.dirname(path)}/.{uuid.uuid4().hex}.part"
+        self.fh = open(self.temporary, "wb")
+
+    def __getattr__(self, name):
+        return getattr(self.fh, name)
+
+    def close(self):
+        import os
+        if not self.fh.closed:
+            self.fh.close()
+            os.replace(self.temporary, self.path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.close()
+
+
 def _open_out(path: str):
     if path.startswith("file:"):
         path = path[len("file:"):]
     if "://" not in path:
-        import os
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        return open(path, "wb")
+        return _Replacing(path)
     from pyarrow import fs as pafs
     filesystem, inner = pafs.FileSystem.from_uri(path)
     return filesystem.open_output_stream(inner)
@@ -69,6 +95,23 @@ def write_zip_shards(members: DataFrame, path: str, name_col: str = "name",
     return ordered.drop(order).mapInPandas(run, REPORT_SCHEMA)
 
 
+def write_files(df: DataFrame, path: str, name_col: str, data_col: str) -> DataFrame:
+    """Write one file per row. Returns a lazy report."""
+    base = path.rstrip("/")
+
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows = []
+            for name, data in zip(pdf[name_col], pdf[data_col], strict=True):
+                with _open_out(f"{base}/{name}") as fh:
+                    fh.write(data if isinstance(data, (bytes, bytearray)) else str(data).encode("utf-8"))
+                rows.append((name, f"{base}/{name}", 1))
+            yield pd.DataFrame(rows, columns=["shard", "path", "n_members"])
+
+    return df.select(name_col, data_col).mapInPandas(run, REPORT_SCHEMA)
+
+
 def png_gray(width: int, height: int, pixels: bytes) -> bytes:
     """Encode 8-bit grayscale pixels (row-major) as a PNG file."""
     import struct

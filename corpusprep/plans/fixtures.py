@@ -18,21 +18,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_SPREAD: dict[tuple[int, str], int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; small single-task scans are spread over the cores
-    (decided once per session and path: the probe is metadata, but not free)."""
-    from corpusprep.sources.tables import spread_small_input
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    key = (id(spark), path)
-    if key not in _SPREAD:
-        spread = spread_small_input(df)
-        _SPREAD[key] = spread.rdd.getNumPartitions() if spread is not df else 0
-    n = _SPREAD[key]
-    return df.repartition(n) if n else df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_samples(pages: DataFrame) -> DataFrame:
@@ -74,14 +62,17 @@ def store(pages: DataFrame) -> DataFrame:
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """Stored archive members (shard, ord, name, data); some names repeat."""
+    """Stored archive members (shard, ord, name, data). Some names repeat later
+    in the archive, and some keys have a second member of another name at the
+    same place (a tie on ``ord``)."""
     pid, o = F.col("page_id"), F.col("ord")
     c = candidates(pages).where((o == 0) & (pid % 4).isin(0, 2) & (pid % 7 != 0))
-    first = c.select("shard", F.lit(0).alias("ord"), F.col("object_key").alias("name"),
-                     F.col("payload").alias("data"))
-    dup = c.where(pid % 6 == 0).select("shard", F.lit(1).alias("ord"),
-                                       F.col("object_key").alias("name"), F.lit("dup").alias("data"))
-    return first.unionByName(dup)
+    at = (pid % 997).cast("int")
+    first = c.select("shard", at.alias("ord"), F.col("object_key").alias("name"), F.col("payload").alias("data"))
+    dup = c.where(pid % 6 == 0).select("shard", (at + 1000).alias("ord"), F.col("object_key").alias("name"), F.lit("dup").alias("data"))
+    tie = c.where(pid % 10 == 2).select("shard", at.alias("ord"), F.regexp_replace("object_key", "[^.]+$", "zzz").alias("name"),
+                                        F.lit("tie").alias("data"))
+    return first.unionByName(dup).unionByName(tie)
 
 
 def err_log(pages: DataFrame) -> DataFrame:
@@ -136,6 +127,12 @@ def pixels(embeddings: DataFrame) -> DataFrame:
                     F.floor(F.col("i") / 8).alias("y"), F.col("v").cast("double").alias("v"))
 
 
+def gray_rows(col="embedding") -> "F.Column":
+    """The 64 values as the 8 rows of an 8 x 8 gray image: ``array<array>``."""
+    return F.transform(F.sequence(F.lit(0), F.lit(7)),
+                       lambda y: F.slice(F.col(col).cast("array<double>"), y * 8 + 1, 8))
+
+
 def tokens(col="embedding") -> "F.Column":
     """The 64 values as 8 tokens x 8 channels: ``array<array<float>>``."""
     return F.transform(F.sequence(F.lit(0), F.lit(7)),

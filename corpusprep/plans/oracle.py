@@ -41,11 +41,14 @@ FROM (
 SELECT DISTINCT object_key, payload AS data FROM candidates
 WHERE (page_id % 4 = 0 AND ord = 0) OR page_id % 4 = 2 OR (page_id % 4 = 3 AND ord = 1)"""),
     "archive": (("candidates",), """
-SELECT shard, 0 AS ord, object_key AS name, payload AS data FROM candidates
+SELECT shard, CAST(page_id % 997 AS INTEGER) AS ord, object_key AS name, payload AS data FROM candidates
 WHERE ord = 0 AND page_id % 4 IN (0, 2) AND page_id % 7 <> 0
 UNION ALL
-SELECT shard, 1 AS ord, object_key AS name, 'dup' AS data FROM candidates
-WHERE ord = 0 AND page_id % 4 IN (0, 2) AND page_id % 7 <> 0 AND page_id % 6 = 0"""),
+SELECT shard, CAST(page_id % 997 + 1000 AS INTEGER) AS ord, object_key AS name, 'dup' AS data FROM candidates
+WHERE ord = 0 AND page_id % 4 IN (0, 2) AND page_id % 7 <> 0 AND page_id % 6 = 0
+UNION ALL
+SELECT shard, CAST(page_id % 997 AS INTEGER) AS ord, regexp_replace(object_key, '[^.]+$', 'zzz') AS name, 'tie' AS data
+FROM candidates WHERE ord = 0 AND page_id % 4 IN (0, 2) AND page_id % 7 <> 0 AND page_id % 10 = 2"""),
     "err_log": (("candidates",), """
 SELECT shard, concat(canonical, ' ') AS line FROM candidates
 WHERE ord = 0 AND (page_id % 4 IN (1, 3) OR page_id % 8 = 0)
@@ -117,6 +120,8 @@ SELECT shard, ord, name, data,
   CASE WHEN regexp_matches(base, '^.+[.][^.]+$') THEN regexp_extract(base, '^(.+)[.][^.]+$', 1)
        ELSE base END AS key
 FROM (SELECT *, regexp_extract(regexp_replace(name, '/+$', ''), '([^/]*)$', 1) AS base FROM archive) a"""),
+    "first_members": (("members",), """
+SELECT shard, key, min(struct_pack(o := ord, n := name)) AS f FROM members GROUP BY shard, key"""),
     "features": (("vectors",), """
 SELECT p.vec_id, v.key,
   CAST(sum(((p.i * 7 + 0 * 13) % 5 - 2) * floor(p.v * 1000)) AS BIGINT) AS y0,

@@ -92,19 +92,6 @@ def q_scan_ledger(spark, sf):
     return SH.scan_ledger(FX.ledger(_pages(spark, sf)))
 
 
-@register("verify_source_md5", [], """
-SELECT CAST(page_id AS VARCHAR) AS path, md5(html) AS md5,
-  md5(html) = CASE WHEN page_id % 2 = 0 THEN md5(html) ELSE md5(url) END AS ok
-FROM pages""")
-def q_verify_source_md5(spark, sf):
-    pages = _pages(spark, sf)
-    files = pages.select(F.col("page_id").cast("string").alias("path"), F.md5(F.col("html")).alias("md5"))
-    expected = pages.select(F.col("page_id").cast("string").alias("path"),
-                            F.when(F.col("page_id") % 2 == 0, F.md5("html"))
-                            .otherwise(F.md5("url")).alias("md5"))
-    return TB.verify_checksums(files, expected).select("path", "md5", "ok")
-
-
 # ---------------------------------------------------------------- projections
 @register("derive_key", ["raw_samples"], """
 SELECT page_id, downloadurl, @key(downloadurl) AS key,
@@ -211,10 +198,10 @@ SELECT shard, ord, name,
   split_part(base, '.', 1) AS stem_first
 FROM (SELECT shard, ord, name, regexp_extract(name, '([^/]*)$', 1) AS base,
         regexp_extract(regexp_replace(name, '/+$', ''), '([^/]*)$', 1) AS rbase FROM
-      (SELECT shard, ord, CASE WHEN ord = 1 THEN concat(name, '.bak') ELSE name END AS name FROM archive) a) b""")
+      (SELECT shard, ord, CASE WHEN ord >= 1000 THEN concat(name, '.bak') ELSE name END AS name FROM archive) a) b""")
 def q_member_key(spark, sf):
     a = FX.archive(_pages(spark, sf))
-    a = a.withColumn("name", F.when(F.col("ord") == 1, F.concat("name", F.lit(".bak"))).otherwise(F.col("name")))
+    a = a.withColumn("name", F.when(F.col("ord") >= 1000, F.concat("name", F.lit(".bak"))).otherwise(F.col("name")))
     return a.select("shard", "ord", "name", K.stem_last_suffix("name").alias("stem_last"),
                     K.stem_first_dot("name").alias("stem_first"))
 
@@ -303,11 +290,10 @@ def q_repair_candidates(spark, sf):
         .select("page_id", "object_key", "found")
 
 
-@register("join_metadata_blobs", ["samples", "members"], """
-WITH f AS (SELECT shard, key, min(ord) AS ord FROM members GROUP BY shard, key)
+@register("join_metadata_blobs", ["samples", "members", "first_members"], """
 SELECT s.page_id, s.key, m.name AS member, m.data
-FROM samples s JOIN f ON f.shard = s.shard AND f.key = s.key
-JOIN members m ON m.shard = f.shard AND m.key = f.key AND m.ord = f.ord""")
+FROM samples s JOIN first_members f ON f.shard = s.shard AND f.key = s.key
+JOIN members m ON m.shard = f.shard AND m.key = f.key AND m.ord = f.f.o AND m.name = f.f.n""")
 def q_join_metadata_blobs(spark, sf):
     pages = _pages(spark, sf)
     meta = _samples(spark, sf).select("page_id", "key", "shard", "marker",
@@ -341,8 +327,7 @@ def q_validate_row_count(spark, sf):
 
 
 @register("keys_per_archive", ["archive"], """
-SELECT shard AS archive, count(*) AS n_members, min(name) AS first_member, max(name) AS last_member
-FROM archive GROUP BY shard""")
+SELECT shard AS archive, name AS member, row_number() OVER (PARTITION BY shard ORDER BY name) AS pos FROM archive""")
 def q_keys_per_archive(spark, sf):
     return M.keys_per_archive(M.archive_index(FX.archive(_pages(spark, sf))))
 
@@ -441,10 +426,9 @@ def q_assign_chunks(spark, sf):
     return out.select("key", "src", "rn", F.floor((F.col("rn") - 1) / 100).cast("bigint").alias("chunk"))
 
 
-@register("first_match", ["members"], """
-WITH f AS (SELECT shard, key, min(ord) AS ord FROM members GROUP BY shard, key)
+@register("first_match", ["members", "first_members"], """
 SELECT m.shard, m.key, m.name, m.ord, m.data FROM members m
-JOIN f ON f.shard = m.shard AND f.key = m.key AND f.ord = m.ord""")
+JOIN first_members f ON f.shard = m.shard AND f.key = m.key AND f.f.o = m.ord AND f.f.n = m.name""")
 def q_first_match(spark, sf):
     members = M.member_keys(FX.archive(_pages(spark, sf)))
     return M.first_members(members).select("shard", "key", "name", "ord", "data")
@@ -455,7 +439,7 @@ def q_first_match(spark, sf):
 SELECT page_id, shard, key, row_number() OVER (PARTITION BY shard ORDER BY key) AS rn FROM samples""")
 def q_sort_by_key(spark, sf):
     s = _samples(spark, sf).select("page_id", "shard", "key")
-    return row_number_within(s, ["shard"], ["key"])
+    return S.sort_by_key(s, position="rn")
 
 
 @register("sorted_shards", ["samples"], """
@@ -468,8 +452,8 @@ def q_sorted_shards(spark, sf):
 @register("sorted_images", ["archive"], """
 SELECT shard, name, ord, row_number() OVER (ORDER BY name, ord) AS pos FROM archive""")
 def q_sorted_images(spark, sf):
-    a = FX.archive(_pages(spark, sf)).select("shard", "name", "ord").withColumn("_all", F.lit(0))
-    return row_number_within(a, ["_all"], ["name", "ord"], name="pos").drop("_all")
+    a = FX.archive(_pages(spark, sf)).select("shard", "name", "ord")
+    return row_number_within(a, [], ["name", "ord"], name="pos")
 
 
 @register("select_shards", ["samples", "ledger"], """
@@ -503,10 +487,11 @@ def q_archives_in_range(spark, sf):
     return SH.archives_in_range(files, "100", "7ff")
 
 
-@register("union_index", ["archive"], "SELECT shard, name, ord FROM archive")
+@register("union_index", ["archive"], "SELECT DISTINCT name AS member, shard AS archive FROM archive")
 def q_union_index(spark, sf):
-    a = FX.archive(_pages(spark, sf)).select("shard", "name", "ord")
-    return a.where(F.col("shard") < "8").unionByName(a.where(F.col("shard") >= "8"))
+    a = FX.archive(_pages(spark, sf))
+    # two sets of archives read apart: the later repeats, and all of them
+    return M.union_index(M.archive_index(a.where(F.col("ord") >= 1000)), M.archive_index(a))
 
 
 @register("prefix_coverage", ["samples"], """

@@ -16,11 +16,11 @@ from corpusprep.operators import media as M
 from corpusprep.operators import resolve as R
 from corpusprep.operators import samples as S
 from corpusprep.operators import shards as SH
+from corpusprep.plans import fixture_files as FL
 from corpusprep.plans import fixtures as FX
 from corpusprep.plans import jobs as J
 from corpusprep.plans.catalog import register
 from corpusprep.plans.queries_media import SCORER_IN, SCORER_OUT, scored
-from corpusprep.sinks import files as FL
 from corpusprep.sinks import writers as W
 from corpusprep.sources import archives as AR
 from corpusprep.sources import images as IM
@@ -70,11 +70,32 @@ def q_scan_metadata_shards(spark, sf):
     return back.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"), F.count("accuracy").alias("n_accuracy"))
 
 
-@register("job_convert_metadata", ["coerced"], "SELECT page_id, key, shard FROM coerced")
+@register("job_convert_metadata", ["coerced"], """
+SELECT page_id, key, shard, CAST(NULL AS VARCHAR) AS reason FROM coerced
+UNION ALL SELECT page_id, NULL AS key, NULL AS shard, 'null downloadurl' AS reason FROM pages""")
 def q_job_convert_metadata(spark, sf):
-    out = W.scratch_path(spark, "g1")
-    J.job_convert_metadata(_meta_cols(FX.raw_samples(_pages(spark, sf))), out)
-    return TB.read_metadata_shards(spark, out, _META_SCHEMA).select("page_id", "key", "shard")
+    """Converted twice: first from a source with other URLs (whose shards must
+    not survive), then from the real one with a null-URL copy of every row."""
+    out, rejects = W.scratch_path(spark, "g1"), W.scratch_path(spark, "g1-rejects")
+    raw = _meta_cols(FX.raw_samples(_pages(spark, sf)))
+    J.job_convert_metadata(raw.withColumn("downloadurl", F.concat("downloadurl", F.lit("?old"))), out)
+    J.job_convert_metadata(raw.unionByName(raw.withColumn("downloadurl", F.lit(None).cast("string"))), out, rejects)
+    good = TB.read_metadata_shards(spark, out, _META_SCHEMA).select("page_id", "key", "shard", F.lit(None).cast("string").alias("reason"))
+    bad = spark.read.parquet(rejects).select("page_id", F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("shard"), "reason")
+    return good.unionByName(bad)
+
+
+@register("verify_source_md5", [], """
+SELECT CAST(page_id AS VARCHAR) AS name, CAST(strlen(html) AS BIGINT) AS length, md5(html) AS md5, page_id % 2 = 0 AS ok FROM pages""")
+def q_verify_source_md5(spark, sf):
+    """Every page written as a file and streamed; half of the expected sums are right."""
+    out = W.scratch_path(spark, "s10")
+    pages = _pages(spark, sf)
+    name = F.col("page_id").cast("string")
+    FL.write_files(pages.select(name.alias("name"), "html"), out, "name", "html").agg(F.count(F.lit(1))).collect()
+    files = TB.file_checksums(spark, out).withColumn("name", F.substring_index("path", "/", -1))
+    expected = pages.select(name.alias("name"), F.upper(F.when(F.col("page_id") % 2 == 0, F.md5("html")).otherwise(F.md5("url"))).alias("md5"))
+    return TB.verify_checksums(files, expected, "name").select("name", "length", "md5", "ok")
 
 
 @register("overwrite_shards", ["samples"], """
@@ -95,10 +116,11 @@ def _resolved(spark, sf):
 
 
 @register("write_blobs", ["resolved"], """
-SELECT shard, object_key, data FROM resolved WHERE found AND length(data) > 0""")
+SELECT DISTINCT shard, object_key, data FROM resolved WHERE found AND length(data) > 0""")
 def q_write_blobs(spark, sf):
     out = W.scratch_path(spark, "k3")
-    W.write_blobs(R.successes(_resolved(spark, sf)), out)
+    pages = _pages(spark, sf)
+    W.write_blobs(R.successes(FX.samples(pages).select("page_id", "key", "shard", "marker", "ext"), FX.store(pages)), out)
     return spark.read.schema(BLOB_SCHEMA).parquet(out).select("shard", "object_key", "data")
 
 
@@ -106,21 +128,23 @@ def q_write_blobs(spark, sf):
 SELECT shard, object_key FROM resolved WHERE NOT (found AND length(data) > 0)""")
 def q_write_error_log(spark, sf):
     out = W.scratch_path(spark, "k4")
-    W.write_error_log(R.failures(_resolved(spark, sf)), out)
+    failed = R.failures(_resolved(spark, sf))
+    W.write_error_log(failed, out)
+    W.write_error_log(failed, out)  # a re-run replaces the logs
     return spark.read.schema(KEY_SCHEMA).parquet(out).select("shard", "object_key")
 
 
 def _existing_blobs(pages):
-    a = FX.archive(pages).where(F.col("ord") == 0)
+    a = FX.archive(pages).where(~F.col("data").isin("dup", "tie"))
     return a.select("shard", F.col("name").alias("object_key"), "data")
 
 
 @register("append_repaired", ["archive", "repaired"], """
-WITH ex AS (SELECT shard, name AS object_key, data FROM archive WHERE ord = 0)
+WITH ex AS (SELECT shard, name AS object_key, data FROM archive WHERE data NOT IN ('dup', 'tie'))
 SELECT shard, object_key, data FROM ex
 UNION ALL
-SELECT r.shard, r.object_key, r.data FROM repaired r
-WHERE r.found AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.shard = r.shard AND ex.object_key = r.object_key)""")
+SELECT DISTINCT r.shard, r.object_key, r.data FROM repaired r
+WHERE r.found AND length(r.data) > 0 AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.shard = r.shard AND ex.object_key = r.object_key)""")
 def q_append_repaired(spark, sf):
     pages = _pages(spark, sf)
     out = W.scratch_path(spark, "k5")
@@ -128,19 +152,18 @@ def q_append_repaired(spark, sf):
     existing = spark.read.schema(BLOB_SCHEMA).parquet(out)
     errs = R.error_keys(FX.err_log(pages), FX.archive(pages))
     s = FX.samples(pages).select("page_id", "key", "shard", "marker", "ext")
-    repaired = R.repair_candidates(s, FX.store(pages), errs).where(F.col("found"))
-    W.append_repaired(repaired, existing, out)
+    W.append_repaired(R.repaired_objects(s, FX.store(pages), errs), existing, out)
     return spark.read.schema(BLOB_SCHEMA).parquet(out).select("shard", "object_key", "data")
 
 
 @register("write_missing", ["missing", "resolved", "archive"], """
-SELECT r.shard, r.object_key, r.data FROM resolved r JOIN missing m ON m.page_id = r.page_id
+SELECT DISTINCT r.shard, r.object_key, r.data FROM resolved r JOIN missing m ON m.page_id = r.page_id
 WHERE r.shard IN (SELECT shard FROM archive) AND r.found AND length(r.data) > 0""")
 def q_write_missing(spark, sf):
     pages = _pages(spark, sf)
     out = W.scratch_path(spark, "k6")
     s = FX.samples(pages).select("page_id", "key", "shard", "marker", "ext")
-    W.write_missing(R.audit_shards(s, FX.archive(pages), FX.store(pages)), out)
+    W.write_missing(R.audit_objects(s, FX.archive(pages), FX.store(pages)), out)
     return spark.read.schema(BLOB_SCHEMA).parquet(out).select("shard", "object_key", "data")
 
 
@@ -280,10 +303,7 @@ SELECT CAST(vec_id AS VARCHAR) AS key,
 FROM e GROUP BY vec_id""")
 def q_scan_images(spark, sf):
     out = W.scratch_path(spark, "s11")
-    emb = FX.table(spark, sf, "embeddings")
-    px = F.when(F.col("vec_id") % 11 != 0, _pixels_col())
-    FL.write_gray_images(emb.select("vec_id", px.alias("px")), out, "vec_id", "px", 8, 8) \
-        .agg(F.count(F.lit(1))).collect()
+    _write_images(spark, sf, out)
     img = IM.scan_images(spark, out)
     psum = F.aggregate(F.transform(F.split(F.hex("data"), "(?<=\\G..)"),
                                    lambda h: F.conv(h, 16, 10).cast("bigint")),
@@ -292,6 +312,34 @@ def q_scan_images(spark, sf):
                       F.when(F.col("valid"), psum).otherwise(F.lit(0).cast("bigint")).alias("pixel_sum"))
 
 
+def _write_images(spark, sf, out):
+    emb = FX.table(spark, sf, "embeddings")
+    px = F.when(F.col("vec_id") % 11 != 0, _pixels_col())
+    FL.write_gray_images(emb.select("vec_id", px.alias("px")), out, "vec_id", "px", 8, 8).agg(F.count(F.lit(1))).collect()
+    return emb
+
+
+@register("extract_embeddings", [], """
+WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+z AS (SELECT vec_id, i, (least(greatest(floor((v + 1) * 127.5), 0), 255) / CAST(255 AS DOUBLE) - 0.5) / 0.5 AS z FROM e)
+SELECT CAST(vec_id AS VARCHAR) AS key,
+  CAST(sum(((i * 7 + 0 * 13) % 5 - 2) * floor(z * 1000)) AS BIGINT) AS y0,
+  CAST(sum(((i * 7 + 1 * 13) % 5 - 2) * floor(z * 1000)) AS BIGINT) AS y1,
+  CAST(sum(((i * 7 + 2 * 13) % 5 - 2) * floor(z * 1000)) AS BIGINT) AS y2,
+  CAST(sum(((i * 7 + 3 * 13) % 5 - 2) * floor(z * 1000)) AS BIGINT) AS y3
+FROM z WHERE vec_id % 11 <> 0 AND vec_id % 3 <> 0 GROUP BY vec_id""")
+def q_extract_embeddings(spark, sf):
+    """Image files -> decode -> normalise -> score -> store; every image comes
+    twice, undecodable and stored ones are skipped."""
+    files, out = W.scratch_path(spark, "f4-img"), W.scratch_path(spark, "f4-out")
+    emb = _write_images(spark, sf, files)
+    img = IM.scan_images(spark, files)
+    stored = emb.where("vec_id % 3 = 0").select(F.col("vec_id").cast("string").alias("key"))
+    W.write_features(FE.embed_images(img.unionByName(img), stored, _scorer(), SCORER_IN), out)
+    back = spark.read.schema("key string, feature array<float>").parquet(out)
+    return back.select("key", *scored(back))
+
+
 # ---------------------------------------------------------------- restartable runs
 @register("resume_shards", ["resolved"], """
 SELECT 'stored' AS status, shard, object_key FROM resolved WHERE found AND length(data) > 0
@@ -333,9 +381,13 @@ SELECT 'stored' AS kind, shard, object_key FROM resolved WHERE found AND length(
 UNION ALL SELECT 'error' AS kind, shard, object_key FROM resolved WHERE NOT (found AND length(data) > 0)
 UNION ALL SELECT DISTINCT 'ledger' AS kind, shard, NULL AS object_key FROM samples""")
 def q_job_fetch(spark, sf):
+    """Fetched twice: from a store without any payload, then, with an explicit
+    list of all shards, from the real one. No key may be in two states."""
     pages = _pages(spark, sf)
     out = W.scratch_path(spark, "g2")
-    J.job_fetch(spark, FX.samples(pages).drop("payload"), FX.store(pages), out)
+    s, store = FX.samples(pages).drop("payload"), FX.store(pages)
+    J.job_fetch(spark, s, store.withColumn("data", F.lit("")), out)
+    J.job_fetch(spark, s, store, out, shards=[r.shard for r in SH.present_shards(s).collect()])  # at most 4,096 names
     f = J.read_fetched(spark, out).select(F.col("status").alias("kind"), "shard", "object_key")
     led = SH.read_ledger(spark, f"{out}/ledger").select(F.lit("ledger").alias("kind"), "shard",
                                                         F.lit(None).cast("string").alias("object_key"))
@@ -343,8 +395,8 @@ def q_job_fetch(spark, sf):
 
 
 @register("job_repair", ["archive", "repaired", "errkeys"], """
-WITH ex AS (SELECT shard, name AS object_key FROM archive WHERE ord = 0),
-rep AS (SELECT r.shard, r.object_key FROM repaired r WHERE r.found
+WITH ex AS (SELECT shard, name AS object_key FROM archive WHERE data NOT IN ('dup', 'tie')),
+rep AS (SELECT DISTINCT r.shard, r.object_key FROM repaired r WHERE r.found AND length(r.data) > 0
         AND NOT EXISTS (SELECT 1 FROM ex WHERE ex.shard = r.shard AND ex.object_key = r.object_key)),
 blobs AS (SELECT shard, object_key FROM ex UNION ALL SELECT shard, object_key FROM rep)
 SELECT 'blob' AS kind, shard, object_key FROM blobs
@@ -352,43 +404,57 @@ UNION ALL
 SELECT 'error' AS kind, e.shard, e.object_key FROM errkeys e
 WHERE NOT EXISTS (SELECT 1 FROM blobs b WHERE b.shard = e.shard AND b.object_key = e.object_key)""")
 def q_job_repair(spark, sf):
+    """The store also holds an empty object for every path it lacks: empty
+    payloads are not repaired and stay in the log. Run twice: the second run
+    has nothing to add."""
     pages = _pages(spark, sf)
     blobs, errors = W.scratch_path(spark, "g3-blobs"), W.scratch_path(spark, "g3-err")
     _existing_blobs(pages).write.partitionBy("shard").parquet(blobs)
     FX.err_log(pages).write.partitionBy("shard").parquet(errors)
     s = FX.samples(pages).select("page_id", "key", "shard", "marker", "ext")
-    new_log = J.job_repair(spark, s, FX.store(pages), blobs, errors)
+    store = FX.store(pages)
+    lacking = FX.candidates(pages).where("page_id % 4 = 1").select("object_key").distinct() \
+        .join(store.select("object_key"), "object_key", "left_anti").withColumn("data", F.lit(""))
+    store = store.unionByName(lacking)
+    new_log = J.job_repair(spark, s, store, blobs, errors)
+    new_log = J.job_repair(spark, s, store, blobs, new_log)
     b = spark.read.schema(BLOB_SCHEMA).parquet(blobs).select(F.lit("blob").alias("kind"), "shard", "object_key")
     e = spark.read.schema(KEY_SCHEMA).parquet(new_log).select(F.lit("error").alias("kind"), "shard", "object_key")
     return b.unionByName(e)
 
 
 def _geometry(df):
+    """Stand-in for the caller's header decoder: sizes and two gray rows from the byte count."""
     n = F.octet_length(F.coalesce(F.col("data"), F.lit("")))
-    return df.withColumn("w", 1 + n % 1200).withColumn("h", 1 + (n * 7) % 900)
+    rows = F.array(F.array((n % 251).cast("double"), (n % 7).cast("double")), F.array((n * 3 % 251).cast("double"), (n % 7).cast("double")))
+    return df.withColumn("w", 1 + n % 1200).withColumn("h", 1 + (n * 7) % 900).withColumn("gray", rows)
 
 
-@register("job_convert", ["samples", "members", "ledger"], """
-WITH f AS (SELECT shard, key, min(ord) AS ord FROM members GROUP BY shard, key),
-j AS (SELECT s.page_id, s.key, s.shard, s.marker, m.data,
+@register("job_convert", ["samples", "members", "first_members", "ledger"], """
+WITH j AS (SELECT s.page_id, s.key, s.shard, s.marker, m.data, strlen(m.data) AS n, s.page_id % 9 = 0 AS already,
         1 + strlen(m.data) % 1200 AS w, 1 + (strlen(m.data) * 7) % 900 AS h
-      FROM samples s JOIN f ON f.shard = s.shard AND f.key = s.key
-      JOIN members m ON m.shard = f.shard AND m.key = f.key AND m.ord = f.ord
-      WHERE s.shard NOT IN (SELECT shard FROM ledger))
-SELECT page_id, key, shard, (marker = 0 AND w * h > 93750.0) AS recompress,
-  CASE WHEN marker = 0 AND w * h > 93750.0 AND w * h > 281250.0
-       THEN CAST(round_even(CAST(500 AS DOUBLE) / greatest(w, h) * w, 0) AS BIGINT) ELSE w END AS new_w,
-  CASE WHEN marker = 0 AND w * h > 93750.0 THEN '422' END AS subsampling,
+      FROM samples s JOIN first_members f ON f.shard = s.shard AND f.key = s.key
+      JOIN members m ON m.shard = f.shard AND m.key = f.key AND m.ord = f.f.o AND m.name = f.f.n
+      WHERE s.shard NOT IN (SELECT shard FROM ledger) AND s.ext <> 'png'),
+g AS (SELECT *, (marker = 0 AND w * h > 93750.0 AND NOT already) AS r FROM j
+      WHERE NOT (marker = 0 AND n < 20000 AND 0.95 * ((n % 251 - n * 3 % 251) / 2.0) ** 2 < 50))
+SELECT page_id, key, shard, r AS recompress,
+  CASE WHEN r AND w * h > 281250.0 THEN CAST(round_even(CAST(500 AS DOUBLE) / greatest(w, h) * w, 0) AS BIGINT) ELSE w END AS new_w,
+  CASE WHEN r AND w * h > 281250.0 THEN CAST(round_even(CAST(500 AS DOUBLE) / greatest(w, h) * h, 0) AS BIGINT) ELSE h END AS new_h,
+  CASE WHEN r THEN '422' END AS subsampling,
   CASE WHEN marker = 0 THEN data END AS image, CASE WHEN marker <> 0 THEN data END AS video
-FROM j""")
+FROM g""")
 def q_job_convert(spark, sf):
     pages = _pages(spark, sf)
     out = W.scratch_path(spark, "g4")
-    s = FX.samples(pages).select("page_id", "key", "shard", "marker", F.col("page_id").alias("src_order"))
+    s = FX.samples(pages).select("page_id", "key", "shard", "marker", "ext", F.col("page_id").alias("src_order"),
+                                 (F.col("page_id") % 9 == 0).alias("already"))
     J.job_convert(spark, s, FX.archive(pages), out, finished=SH.scan_ledger(FX.ledger(pages)),
-                  geometry=_geometry)
-    back = spark.read.parquet(f"{out}/samples")
-    return back.select("page_id", "key", "shard", "recompress", "new_w", "subsampling", "image", "video")
+                  geometry=_geometry, kinds=("images", "videos"), predicate="ext <> 'png'", already="already", pixels="gray")
+    schema = ("page_id bigint, key string, recompress boolean, new_w bigint, new_h bigint, subsampling string, "
+              "image string, video string, shard string")
+    back = spark.read.schema(schema).parquet(f"{out}/samples")
+    return back.select("page_id", "key", "shard", "recompress", "new_w", "new_h", "subsampling", "image", "video")
 
 
 @register("job_prefix_release", ["features"], """
@@ -400,5 +466,10 @@ SELECT p.prefix, concat(p.prefix, '0') AS "start", concat(p.prefix, 'f') AS "end
     AS manifest
 FROM p LEFT JOIN c ON c.prefix = p.prefix""")
 def q_job_prefix_release(spark, sf):
+    """Released in two ranges, the second one twice: the first range stays, and
+    no key is stored twice."""
     out = W.scratch_path(spark, "g5")
-    return J.job_prefix_release(spark, _vectors(spark, sf), out, "00", "ff", _scorer(), SCORER_IN)
+    v = _vectors(spark, sf)
+    J.job_prefix_release(spark, v, out, "00", "7f", _scorer(), SCORER_IN)
+    J.job_prefix_release(spark, v, out, "80", "ff", _scorer(), SCORER_IN)
+    return J.job_prefix_release(spark, v, out, "00", "ff", _scorer(), SCORER_IN)

@@ -141,10 +141,9 @@ WITH p AS (SELECT vec_id, quantile_cont(cv, 0.95) AS p95
 SELECT vec_id, 1000 * (vec_id % 40) AS n_bytes FROM p
 WHERE NOT (1000 * (vec_id % 40) < {P.GATE_MIN_BYTES} AND p95 < {GATE_VARIANCE})""")
 def q_quality_gate(spark, sf):
-    emb = FX.table(spark, sf, "embeddings")
-    sizes = emb.select("vec_id", (1000 * (F.col("vec_id") % 40)).alias("n_bytes"))
-    kept = M.quality_gate(FX.pixels(emb), sizes, "vec_id", min_variance=GATE_VARIANCE)
-    return kept.select("vec_id", "n_bytes")
+    images = FX.table(spark, sf, "embeddings").select(
+        "vec_id", (1000 * (F.col("vec_id") % 40)).alias("n_bytes"), FX.gray_rows().alias("rows"))
+    return M.quality_gate(images, min_variance=GATE_VARIANCE).select("vec_id", "n_bytes")
 
 
 # ---------------------------------------------------------------- features
@@ -178,16 +177,6 @@ def q_score_model(spark, sf):
     return out.select("vec_id", *scored(out))
 
 
-@register("extract_embeddings", ["features", "vectors"], """
-SELECT f.key, f.y0, f.y1, f.y2, f.y3 FROM features f JOIN vectors v ON v.vec_id = f.vec_id
-WHERE NOT v.already_done""")
-def q_extract_embeddings(spark, sf):
-    v = _vectors(spark, sf)
-    stored = v.where("already_done").select("key")
-    out = FE.extract_embeddings(v, stored, FE.integer_scorer(SCORER_IN, SCORER_OUT), SCORER_IN)
-    return out.select("key", *scored(out))
-
-
 @register("normalize_pixels", [], """
 WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS i
            FROM embeddings),

@@ -62,8 +62,8 @@ def apply_scale_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a fresh scratch folder created and set.
+    The cluster names it in ``spark.checkpoint.dir``; only a local master (one
+    process, as in tests) gets a fresh scratch folder where it is unset.
     """
     try:
         sc = spark.sparkContext
@@ -75,10 +75,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    path = os.path.join(path, "checkpoints")
-    if sc is not None:
-        sc.setCheckpointDir(path)
+    master = sc.master if sc is not None else ""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver "
+                           "and all executors share")
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "checkpoints")
+    sc.setCheckpointDir(path)
     return path
 
 

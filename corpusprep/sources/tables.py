@@ -26,35 +26,6 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         else spark.read.format("jdbc").options(**options).load()
 
 
-SPREAD_MAX_BYTES = 1 << 30  # only inputs below 1 GiB are ever spread
-
-
-def spread_small_input(df: DataFrame, min_partitions: int | None = None,
-                       max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Spread a *small* scan that yields fewer partitions than the cluster has
-    cores.
-
-    A Parquet row group is never split, so a small table written as one row
-    group is one task however many cores wait. Only when the scan has fewer
-    partitions than the default parallelism *and* Catalyst's size estimate is
-    below ``max_bytes`` (both metadata: the file listing, no job) is it
-    round-robin repartitioned. A large input is returned untouched, so this
-    never adds a shuffle of real data at scale.
-    """
-    spark = df.sparkSession
-    try:
-        want = int(min_partitions or spark.sparkContext.defaultParallelism)
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size >= max_bytes:
-            return df
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no classic context (e.g. a remote session): leave as is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want)
-
-
 def describe_columns(df: DataFrame) -> DataFrame:
     """Column names and types of a table, from its schema alone (the
     ``limit 0`` probe of the studied tool; no job runs)."""
@@ -135,10 +106,32 @@ def scan_feature_keys(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("key string, feature array<float>").parquet(path).select("key")
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """S10 source: ``(path, length, md5)`` of every file under ``path``."""
-    return spark.read.format("binaryFile").load(path) \
-        .select("path", "length", F.md5("content").alias("md5"))
+def file_checksums(spark: SparkSession, path: str, chunk_bytes: int = 16 << 20) -> DataFrame:
+    """S10 source: ``(path, length, md5)`` of every file under ``path``.
+
+    Only the listing is a table; each task streams its files in pieces of
+    ``chunk_bytes``, so a file may be larger than a row can hold.
+    """
+    import hashlib
+
+    import pandas as pd
+
+    from corpusprep.sources.archives import _open
+
+    def digest(batches):
+        for pdf in batches:
+            rows = []
+            for name, length in zip(pdf["path"], pdf["length"], strict=True):
+                h = hashlib.md5()
+                with _open(name) as fh:
+                    while piece := fh.read(chunk_bytes):
+                        h.update(piece)
+                rows.append((name, length, h.hexdigest()))
+            yield pd.DataFrame(rows, columns=["path", "length", "md5"])
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = spark.read.format("binaryFile").load(path).select("path", "length").repartition(n, "path")
+    return files.mapInPandas(digest, "path string, length bigint, md5 string")
 
 
 def verify_checksums(files: DataFrame, expected: DataFrame, on: str = "path") -> DataFrame:

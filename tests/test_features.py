@@ -45,14 +45,33 @@ def test_resume_features_twice_equals_once(spark, tmp_dir):
 
 
 def test_quality_gate_keeps_big_or_busy(spark):
-    px = spark.createDataFrame([(1, x, y, float(v)) for x in range(4) for y, v in enumerate([0, 0, 0, 1])] +
-                               [(2, x, y, float(v)) for x in range(4) for y, v in enumerate([0, 100, 0, 100])],
-                               "id long, x long, y long, v double")
-    sizes = spark.createDataFrame([(1, 100), (2, 100), (3, 100)], "id long, n_bytes long")
-    kept = sorted(r.id for r in M.quality_gate(px, sizes).collect())
-    assert kept == [2]  # 1 is small and flat; 3 has no pixels (undecodable)
-    big = spark.createDataFrame([(1, 50000)], "id long, n_bytes long")
-    assert M.quality_gate(px, big).count() == 1
+    flat, busy = [[0.0] * 4, [0.0] * 4, [0.0] * 4, [1.0] * 4], [[0.0] * 4, [100.0] * 4, [0.0] * 4, [100.0] * 4]
+    df = spark.createDataFrame([(1, 100, flat), (2, 100, busy), (3, 100, None), (4, 100, []), (5, 50000, flat)],
+                               "id long, n_bytes long, rows array<array<double>>")
+    out = M.quality_gate(df)
+    assert sorted(r.id for r in out.collect()) == [2, 5]  # 1 is small and flat; 3 and 4 have no pixels
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_gate_equals_the_pixel_table(spark):
+    rng = np.random.default_rng(0)
+    images = [(i, 1, rng.integers(0, 255, (int(rng.integers(2, 9)), 7)).astype(float).tolist()) for i in range(20)]
+    px = [(i, x, y, v) for i, _, rows in images for y, row in enumerate(rows) for x, v in enumerate(row)]
+    table = M.variance_p95(M.column_variance(spark.createDataFrame(px, "id long, x long, y long, v double")))
+    want = {r.id: r.p95 for r in table.collect()}
+    df = spark.createDataFrame(images, "id long, n_bytes long, rows array<array<double>>")
+    got = {r.id: r.p for r in df.select("id", M.column_variance_p95("rows").alias("p")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_one_vector_per_key_and_pending_keys(spark):
+    rows = [(f"k{i % 10}", [float(i % 10)] * 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, embedding array<float>").repartition(7)
+    stored = spark.createDataFrame([("k1",), ("k1",), ("zz",)], "key string")
+    pending = FE.pending_features(df, stored)
+    assert pending.count() == 180 and pending.where("key = 'k1'").count() == 0
+    out = FE.extract_embeddings(df, stored, FE.integer_scorer(4, 2), 4).collect()
+    assert sorted(r.key for r in out) == [f"k{i}" for i in (0, 2, 3, 4, 5, 6, 7, 8, 9)]
 
 
 def test_resize_half_even(spark):

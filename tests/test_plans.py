@@ -36,15 +36,6 @@ def test_scale_settings():
     assert s["spark.sql.adaptive.enabled"] == "true"
 
 
-def test_spread_only_small_inputs(spark, tmp_dir):
-    from corpusprep.sources.tables import spread_small_input
-    spark.range(0, 1000).coalesce(1).write.parquet(f"{tmp_dir}/one")
-    df = spark.read.parquet(f"{tmp_dir}/one")
-    assert spread_small_input(df, 4).rdd.getNumPartitions() == 4
-    # above the byte bound: returned untouched, whatever the partition count
-    assert spread_small_input(df, 4, max_bytes=1).rdd.getNumPartitions() == 1
-
-
 def test_no_query_plans_a_cross_product(spark):
     """No registered query pairs rows without an equi-key (no cartesian or
     nested-loop join, which emit all pairs)."""

@@ -95,21 +95,17 @@ def main():
     archive = store.select(F.substring(F.regexp_extract("object_key", r"([^/]*)$", 1), 1, 3).alias("shard"),
                            F.col("object_key").alias("name")).where(F.col("name").contains(hot_key[:6]))
 
-    # a task's fair share at this size: 600,000 rows over 16 partitions
-    target = 40_000
     runs = {
-        "resolve_objects": lambda: R.resolve_objects(samples, store, target_rows=target),
-        "find_missing": lambda: R.find_missing(samples, archive, store, target_rows=target),
+        "resolve_objects": lambda: R.resolve_objects(samples, store),
+        "find_missing": lambda: R.find_missing(samples, archive, store),
         "dedupe_last": lambda: S.dedupe_last(samples.select("key", "src", "ext"), "key", "src"),
         # a third of the archive members are copies of one member
         "join_metadata_blobs": lambda: M.join_metadata_blobs(
             samples.select("shard", "key", "marker", F.col("src").alias("src_order")),
             samples.select("shard", F.concat(F.col("key"), F.lit(".jpg")).alias("name"),
-                           F.col("src").cast("int").alias("ord"), F.lit("x").alias("data")),
-            target_rows=target),
+                           F.col("src").cast("int").alias("ord"), F.lit("x").alias("data"))),
         "pending_features": lambda: FE.pending_features(
-            samples.select("key", "src"), samples.where(F.col("src") % 5 == 0).select("key"),
-            target_rows=target),
+            samples.select("key", "src"), samples.where(F.col("src") % 5 == 0).select("key")),
         "row_number_within": lambda: row_number_within(samples.select("shard", "key", "src"), ["shard"], ["src"]),
     }
     report = {}
