@@ -42,9 +42,9 @@ from corpusprep.llm.common import materialize, range_bounds, range_of
 ORDER = 2
 FOLDS = 7
 HELD_OUT = 2
-BLOCK_BYTES = 24 << 20
-#: Tokens a task gathers before it hands on its counts.
-FLUSH_TOKENS = 5_000_000
+BLOCK_BYTES = 8 << 20
+#: Tokens a task gathers before it hands on the counts of its earlier blocks.
+FLUSH_TOKENS = 1_000_000
 START, END = b"\n<s>", b"\n</s>"  # words hold no white space
 
 
@@ -80,8 +80,11 @@ class _Grams:
     def levels(self, order: int):
         """``(hashes, where)`` per n: of the n-grams ending at positions ``where``."""
         seq = np.concatenate(self.parts)
+        self.parts.clear()
         digest = xxhash.xxh64_intdigest
-        hashed = np.array([digest(w) for w in self.words], np.uint64)[seq]
+        hashed = np.fromiter(map(digest, self.words), np.uint64, len(self.words))
+        self.words.clear()
+        hashed = hashed[seq]
         open_ = seq == self.start
         where = np.flatnonzero(~open_)
         key = hashed
@@ -122,9 +125,10 @@ _KEYS = pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("block", pa.in
 
 def _gather(order: int, shards: int):
     """Of documents ``(block, train, text)``: sorted distinct n-grams and training counts per block and shard."""
-    def flush(blocks):
+    def flush(blocks, names):
         rows = []
-        for block, grams in blocks.items():
+        for block in names:
+            grams = blocks.pop(block)
             train = np.repeat(np.array(grams.flags, bool), grams.sizes)
             for level, (keys, where) in enumerate(grams.levels(order), 1):
                 distinct, place = np.unique(keys, return_inverse=True)
@@ -132,7 +136,6 @@ def _gather(order: int, shards: int):
                 cuts = _cuts(distinct, shards)
                 rows += [(level, s, block, distinct[a:z].tobytes(), _pack(counts[a:z]))
                          for s, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
-        blocks.clear()
         if rows:
             cols = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _KEYS, strict=True)], schema=_KEYS)
@@ -141,15 +144,16 @@ def _gather(order: int, shards: int):
         blocks, held = {}, 0
         for b in batches:
             for block, train, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()), strict=True):
+                if held > FLUSH_TOKENS:  # the block being read goes on, unless it alone is too much
+                    done = [k for k in blocks if k != block] or [block]
+                    held -= sum(sum(blocks[k].sizes) for k in done if k in blocks)
+                    yield from flush(blocks, [k for k in done if k in blocks])
                 grams = blocks.get(block)
                 if grams is None:
                     grams = blocks[block] = _Grams()
                 grams.add(text.as_py(), train)
                 held += grams.sizes[-1]
-                if held > FLUSH_TOKENS:
-                    yield from flush(blocks)
-                    held = 0
-        yield from flush(blocks)
+        yield from flush(blocks, list(blocks))
     return run
 
 
