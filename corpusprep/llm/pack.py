@@ -10,9 +10,10 @@
    configuration holding it. Lengths served ahead of their demand get
    cheaper, the others dearer.
 3. Rounding: configurations are used in whole copies, heaviest first, as far as
-   the histogram has their lengths; what is left is solved again; the last few
-   are filled one sequence at a time (largest piece first, then the subset of
-   the rest that fills it best).
+   the histogram has their lengths; what is left is solved again; for the last
+   few thousand pieces the shortest of several plans is taken (the program
+   once more, best fit by descending length, or one sequence after the other
+   around its largest piece).
 4. Pieces of one length are interchangeable: a running count numbers them, and
    number ``r`` of length ``l`` takes the ``r``-th slot of that length in the
    list of configurations. No task ever holds a bin's or a length's pieces
@@ -205,6 +206,72 @@ def _fill(left: np.ndarray, capacity: int) -> tuple:
     return tuple(sorted(chosen, reverse=True))
 
 
+def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """Pieces by descending length, each into the fullest sequence that still has room."""
+    open_: list[list[list[int]]] = [[] for _ in range(capacity + 1)]  # by room
+    rooms = np.zeros(capacity + 1, bool)
+    for length in np.flatnonzero(left)[::-1].tolist():
+        for _ in range(int(left[length])):
+            fits = np.flatnonzero(rooms[length:])
+            room = length + int(fits[0]) if len(fits) else capacity
+            config = open_[room].pop() if len(fits) else []
+            rooms[room] = bool(open_[room])
+            config.append(length)
+            open_[room - length].append(config)
+            rooms[room - length] = room > length
+    count: dict[tuple, int] = defaultdict(int)
+    for configs in open_:
+        for c in configs:
+            count[tuple(c)] += 1
+    return sorted(count.items())
+
+
+def _fill_all(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """One sequence after the other, each around the largest piece left."""
+    left, plan = left.copy(), []
+    while left.any():
+        config = _fill(left, capacity)
+        plan.append((config, 1 + _use(left, config, None)))  # again, while all its lengths are there
+    return plan
+
+
+def _use(left: np.ndarray, config: tuple, most: int | None) -> int:
+    """Takes a configuration off the histogram as often as it has the pieces, at most ``most`` times."""
+    need = np.bincount(config, minlength=len(left))
+    held = np.flatnonzero(need)
+    copies = int((left[held] // need[held]).min())
+    copies = copies if most is None else min(copies, most)
+    left[held] -= copies * need[held]
+    return copies
+
+
+def _rounded(left: np.ndarray, capacity: int, slack: int) -> list[tuple[tuple, int]]:
+    """Solves the program for ``left`` and takes whole copies of its
+    configurations off it, fullest first, down to ``slack`` tokens unused."""
+    plan = []
+    use = _configurations(left.astype(float), capacity)
+    for config, x in sorted(use.items(), key=lambda kv: (-sum(kv[0]), -kv[1], kv[0])):
+        if capacity - sum(config) > slack:
+            break  # leave what fills badly to the next solve
+        copies = _use(left, config, int(np.ceil(x)))
+        if copies:
+            plan.append((config, copies))
+    return plan
+
+
+def _tail(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """The last few pieces: the shortest of several plans."""
+    plans = [_fill_all(left, capacity)]  # at most one step a length, whatever the counts
+    if left.sum() > 4 * TAIL:
+        return plans[0]
+    plans.append(_best_fit(left, capacity))
+    for slack in (0, capacity // 100, capacity // 10):
+        rest = left.copy()
+        start = _rounded(rest, capacity, slack)
+        plans += [start + _best_fit(rest, capacity), start + _fill_all(rest, capacity)]
+    return min(plans, key=lambda p: sum(copies for _, copies in p))
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
     """``(configuration, copies)`` that hold exactly ``histogram``'s pieces."""
     left = np.zeros(capacity + 1, np.int64)
@@ -218,27 +285,10 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
         before = int(left.sum())
         if before <= TAIL:
             break
-        use = _configurations(left.astype(float), capacity)
-        for config, x in sorted(use.items(), key=lambda kv: (-sum(kv[0]), -kv[1], kv[0])):
-            if capacity - sum(config) > capacity // 100 and before > 4 * TAIL:
-                break  # leave what fills badly to the next solve
-            need = np.bincount(config, minlength=capacity + 1)
-            held = np.flatnonzero(need)
-            copies = min(int(np.ceil(x)), int((left[held] // need[held]).min()))
-            if copies > 0:
-                left[held] -= copies * need[held]
-                plan.append((config, copies))
+        plan += _rounded(left, capacity, capacity // 100 if before > 4 * TAIL else capacity)
         if left.sum() > 0.9 * before:
             break
-    while left.any():
-        config = _fill(left, capacity)
-        # the same configuration again, while all its lengths are there
-        need = np.bincount(config, minlength=capacity + 1)
-        held = np.flatnonzero(need)
-        more = int((left[held] // need[held]).min())
-        left[held] -= more * need[held]
-        plan.append((config, 1 + more))
-    return plan
+    return plan + (_tail(left, capacity) if left.any() else [])
 
 
 def _slots(plan, capacity: int):
