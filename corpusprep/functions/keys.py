@@ -145,7 +145,8 @@ def in_hex_range(shard: Column | str, start: str, end: str) -> Column:
 def hex_range(spark: SparkSession, start: str, end: str, name: str = "shard") -> DataFrame:
     """Table of hex names from ``start`` to ``end`` inclusive, padded to 3."""
     lo, hi = int(start, 16), int(end, 16)
-    return spark.range(lo, hi + 1, 1, 1).select(hex_name(F.col("id")).alias(name))
+    parts = max(1, -(-(hi + 1 - lo) // 65536))  # one for shard names, more for wider ranges
+    return spark.range(lo, hi + 1, 1, parts).select(hex_name(F.col("id")).alias(name))
 
 
 def shard_domain(spark: SparkSession) -> DataFrame:

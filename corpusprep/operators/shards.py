@@ -97,12 +97,10 @@ def archives_in_range(archive_files: DataFrame, start: str, end: str,
 
 
 def sorted_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
-    """O2 / O3 for bounded work lists (at most 4,096 names): 1-based position.
-
-    A global order over a bounded list is fine in one partition; for data-sized
-    inputs use :func:`corpusprep.operators.windows.row_number_within`.
-    """
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    """O2 / O3: 1-based position in a global order (range-partitioned: no task
+    holds the whole list)."""
+    from corpusprep.operators.windows import row_number_within
+    return row_number_within(df, [], order, name)
 
 
 def shard_progress(present: DataFrame, finished: DataFrame) -> DataFrame:
@@ -137,13 +135,13 @@ def assign_devices(shards: DataFrame, n_devices: int) -> DataFrame:
     device (not ``ntile``, which spreads the remainder over the first ones).
 
     With fewer shards than devices each shard gets its own device (D10).
-    The input is a work list (at most 4,096 names), so one ordered window is
+    Only valid shard names count (at most 4,096), so one ordered window is
     bounded.
     """
     w = Window.orderBy("shard")
     total = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
     per = F.greatest(F.floor(total / n_devices), F.lit(1))
-    return shards.select("shard").distinct() \
+    return present_shards(shards) \
         .withColumn("_rn", F.row_number().over(w)).withColumn("_per", per) \
         .select("shard", F.least(F.floor((F.col("_rn") - 1) / F.col("_per")),
                                  F.lit(n_devices - 1)).cast("bigint").alias("device"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,10 @@ def job_convert_metadata(source: DataFrame, out: str, rejects: str | None = None
 
 
 def _work_meta(samples: DataFrame, work: DataFrame, kinds, predicate) -> DataFrame:
-    """Samples of the work list (at most 4,096 names: a bounded broadcast), kind and user filters applied."""
+    """Samples of the work list (at most 4,096 names: a bounded broadcast), kind
+    and user filters applied. Jobs take filters the optimizer can read only."""
+    if predicate is not None and not isinstance(predicate, (str, Column)):
+        raise TypeError("a job's filter is SQL text or a Column")
     return S.prepare_metadata(samples.join(F.broadcast(work), "shard", "left_semi"), kinds, predicate, sort=False)
 
 

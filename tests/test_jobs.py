@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import features as FE
@@ -90,6 +91,12 @@ def test_jobs_leave_the_session_as_it_was(spark, tmp_dir):
         spark.conf.set(key, was)
 
 
+def test_jobs_take_no_python_filters(spark, tmp_dir):
+    _, s, store = _inputs(spark)
+    with pytest.raises(TypeError, match="SQL text or a Column"):
+        J.job_fetch(spark, s, store, tmp_dir, predicate=lambda row: True)
+
+
 def test_null_urls_go_to_the_reject_table(spark, tmp_dir):
     raw = FX.raw_samples(FX.table(spark, SF, "pages")).drop("payload")
     bad = raw.withColumn("downloadurl", F.when(F.col("page_id") % 3 != 0, F.col("downloadurl")))

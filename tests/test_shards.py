@@ -48,3 +48,11 @@ def test_partition_names_stay_strings(spark, tmp_dir):
 def test_hex_prefix_bounds(spark):
     b = SH.prefix_bounds(spark, "52", "5f").collect()
     assert b[0].prefix == "52" and b[0].start == "520" and b[-1].end == "5ff" and len(b) == 14
+
+
+def test_sorted_positions_and_wide_hex_ranges(spark):
+    names = [f"{i * 37 % 4096:03x}" for i in range(4096)]
+    out = SH.sorted_positions(_shards(spark, names), ["shard"]).collect()
+    assert {r.shard: r.pos for r in out} == {f"{i:03x}": i + 1 for i in range(4096)}
+    wide = K.hex_range(spark, "0", "3ffff")
+    assert wide.count() == 0x40000 and wide.rdd.getNumPartitions() == 4
