@@ -52,13 +52,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_scale_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL options the operators rely on (idempotent)."""
-    for k, v in SCALE_CONF.items():
-        spark.conf.set(k, v)
-    return spark
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

@@ -87,11 +87,14 @@ def check(spark, con, name, fn, sql, sf):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--conf", action="append", default=[])
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     from corpusprep.session import local_session
     import __spark_entry__ as E
     spark = local_session(8, 8)
+    for k in a.conf:  # e.g. --conf key=value: a caller's session with other settings
+        spark.conf.set(*k.split("=", 1))
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(a.sf)
     names = a.names or sorted(qs)
