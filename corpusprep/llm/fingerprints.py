@@ -40,6 +40,7 @@ SPAN = 32
 SKETCH = 64
 DIGITS = 10
 CHUNK = 1 << 16
+RANGES_PER_PARTITION = 6
 
 
 def _reduce(x: np.ndarray) -> np.ndarray:
@@ -216,7 +217,8 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edited_fingerprint, near_edited, near_next, edit_start`` (the first place
     where the edited text differs, or its end)."""
     spark = docs.sparkSession
-    n = buckets or shuffle_partitions(spark)
+    # several ranges a partition, so that partitions come out even
+    n = buckets or RANGES_PER_PARTITION * shuffle_partitions(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bounds = range_bounds(src, "doc_id", n)
     h = F.xxhash64("text")
@@ -232,6 +234,6 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     extra = rows.join(F.broadcast(follow), (F.col("_range") == F.col("_at")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_fh"))) \
         .dropDuplicates(["_at"]).select(F.col("_before").alias("_range"), F.lit(False).alias("_own"), "doc_id", "text", "_h")
     dealt = rows.select("_range", F.lit(True).alias("_own"), "doc_id", "text", "_h").unionByName(extra) \
-        .repartition(n, "_range").sortWithinPartitions("_range", F.desc("_own"), F.desc_nulls_last("doc_id"), "_h")
+        .repartition(max(1, n // RANGES_PER_PARTITION), "_range").sortWithinPartitions("_range", F.desc("_own"), F.desc_nulls_last("doc_id"), "_h")
     schema = ", ".join(f"{c} {'long' if t == pa.int64() else 'double' if t == pa.float64() else 'string'}" for c, t in _OUT)
     return dealt.select("_range", "_own", "doc_id", "text").mapInArrow(_neighbours, schema)
