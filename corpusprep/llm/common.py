@@ -104,17 +104,14 @@ def chained_sum(df: DataFrame, group: list[str], bucket: Column, order: list[Col
     totals (one row per bucket and group). ``order`` must determine a row up
     to full copies, which may take any of their places.
     """
-    tagged = df.withColumn("_bucket", bucket)
-    keys = [*group, "_bucket"]
-    totals = tagged.groupBy(*keys).agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*[F.col(k).alias(f"_c{k}") for k in keys],
-                          F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"))
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # plain equality on keys without nulls: the join keeps the windows' partitioning
+    keys = [f"_g{i}" for i in range(len(group))]
+    tagged = df.withColumns({k: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for k, c in zip(keys, group, strict=True)}) \
+        .withColumn("_bucket", bucket)
+    totals = tagged.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    same = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_c{k}"))
-        same = c if same is None else same & c
-    return local.join(carry, same).withColumn(name, F.col("_carry") + F.col("_local")) \
-        .drop("_bucket", "_carry", "_local", *[f"_c{k}" for k in keys])
+    return local.join(carry, [*keys, "_bucket"]).withColumn(name, F.col("_carry") + F.col("_local")) \
+        .drop(*keys, "_bucket", "_carry", "_local")
