@@ -151,7 +151,8 @@ def identify(rows: DataFrame, model: np.ndarray, keep: list[str], languages=LANG
 
     whole = seen.agg(*_sums(k), F.count(F.lit(1)).alias("n")).first()
     total = sum((whole[i] or 0.0) for i in range(k)) + k * PSEUDO
-    corpus = F.array(*[F.lit(((whole[i] or 0.0) + PSEUDO) / total) for i in range(k)])
+    corpus_share = [((whole[i] or 0.0) + PSEUDO) / total for i in range(k)]
+    corpus = F.array(*map(F.lit, corpus_share))
 
     def mixed(counts: Column, parent: Column) -> Column:
         size = F.aggregate(counts, F.lit(0.0), lambda a, x: a + F.greatest(x, F.lit(0.0)))
@@ -166,8 +167,6 @@ def identify(rows: DataFrame, model: np.ndarray, keep: list[str], languages=LANG
                         .select("_host", "_hn", "_hc", F.coalesce(mixed(F.col("_dc"), corpus), corpus).alias("_dp")), "langid-host")
     total_rows = int(whole["n"] or 0)
     out = lookup_join(r, hosts.select("_host", "_hc", "_dp"), "_host", hot_keys(hosts, "_host", "_hn", total_rows), F.col("_spread"))
-    others = F.when(F.col("_n") > 0, F.zip_with("_hc", "_post", lambda a, b: a - b)).otherwise(F.col("_hc"))
-    prior = F.coalesce(mixed(others, F.col("_dp")), corpus)
 
     # P(suffix | l)
     suffixes = seen.where("_suffix is not null").groupBy("_suffix").agg(*_sums(k), F.count(F.lit(1)).alias("_sn"))
@@ -181,26 +180,55 @@ def identify(rows: DataFrame, model: np.ndarray, keep: list[str], languages=LANG
     # P(declared | l): known languages and one class for all others, a table of k x k
     said = F.when(F.col("_declared").isin(*languages), F.col("_declared")).when(F.col("_declared").isNotNull(), F.lit("?"))
     table = {x["said"]: x for x in seen.select(said.alias("said"), "_post").where("said is not null").groupBy("said").agg(*_sums(k)).collect()}
-    words = [*languages, "?"]
-    sums = [sum((table[w][f"_c{i}"] if w in table else 0.0) for w in words) + PSEUDO * len(words) for i in range(k)]
-    declared = F.array(*[F.lit(0.0)] * k)
-    for w in words:
-        got = [float(np.log(((table[w][f"_c{i}"] if w in table else 0.0) + PSEUDO) / sums[i])) for i in range(k)]
-        declared = F.when(said == w, F.array(*map(F.lit, got))).otherwise(declared)
-
-    none = F.array(*[F.lit(0.0)] * k)
-    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    score = add(add(F.col("_ll"), declared), add(F.coalesce("_sl", none), F.transform(prior, lambda p: F.log(p))))
-    tags = F.array(*map(F.lit, [*languages, "other"]))
-    known = F.slice("_final", 1, len(languages))
-    done = out.withColumn("_score", score).withColumn("_final", _softmax(F.col("_score"))) \
-        .withColumn("_known", known).withColumn("posterior", F.array_max("_known")) \
-        .withColumn("_best", F.get(tags, F.array_position("_known", F.col("posterior")).cast("int") - 1)) \
-        .withColumn("accepted", (F.col("_n") > 0) & (1 - F.get("_final", F.lit(k - 1)) >= min_known)) \
-        .withColumn("language", F.when(F.col("accepted"), F.col("_best"))) \
-        .withColumn("text_language", F.when(F.col("_n") > 0, F.get(tags, F.array_position("_post", F.array_max("_post")).cast("int") - 1)))
-    return done.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
-                       "language", F.round("posterior", 6).alias("posterior"), "text_language", "accepted")
+    counts = np.array([[(table[w][f"_c{i}"] if w in table else 0.0) for i in range(k)] for w in (*languages, "?")]) + PSEUDO
+    declared = np.log(counts / counts.sum(axis=0))
+
+    names = [f"_k{i}" for i in range(len(keep))]
+    kinds = {f.name: f.dataType.simpleString() for f in r.schema.fields}
+    schema = ", ".join(f"{n} {kinds[n]}" for n in names) + ", language string, posterior double, text_language string, accepted boolean"
+    fused = out.select(*names, said.alias("_said"), "_n", "_ll", "_hc", "_dp", "_sl") \
+        .mapInArrow(_fuse(len(names), languages, corpus_share, declared, min_known), schema)
+    return fused.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "language", "posterior", "text_language", "accepted")
+
+
+def _matrix(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list column of width ``k`` as a matrix (zero rows for nulls), and which rows are there."""
+    there = np.asarray(column.is_valid())
+    out = np.zeros((len(column), k))
+    out[there] = np.asarray(column.flatten()).reshape(-1, k)
+    return out, there
+
+
+def _soft(log: np.ndarray) -> np.ndarray:
+    e = np.exp(log - log.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+def _fuse(width: int, languages, corpus: list[float], declared: np.ndarray, min_known: float):
+    """All evidence of a batch of rows, added up: ``log P`` of text, declaration,
+    suffix, and the smoothed host prior without the row's own text."""
+    tags, rows = np.array([*languages, "other"], dtype=object), {w: i for i, w in enumerate((*languages, "?"))}
+
+    def run(batches):
+        k = len(tags)
+        for b in batches:
+            said, n, ll, hc, dp, sl = (b.column(width + i) for i in range(6))
+            n = n.to_numpy()
+            ll, _ = _matrix(ll, k)
+            text = _soft(ll)
+            counts, hosted = _matrix(hc, k)
+            parent, _ = _matrix(dp, k)
+            others = np.maximum(counts - np.where(n[:, None] > 0, text, 0), 0)
+            prior = np.where(hosted[:, None], (others + STRENGTH * parent) / (others.sum(axis=1, keepdims=True) + STRENGTH), np.array(corpus))
+            told = np.array([declared[rows[w]] if w is not None else np.zeros(k) for w in said.to_pylist()]).reshape(-1, k)
+            final = _soft(ll + told + _matrix(sl, k)[0] + np.log(prior))
+            best = final[:, :-1].argmax(axis=1)
+            ok = (n > 0) & (1 - final[:, -1] >= min_known)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:width], pa.array(np.where(ok, tags[best], None), pa.string()), pa.array(np.round(final[np.arange(len(best)), best], 6)),
+                 pa.array(np.where(n > 0, tags[text.argmax(axis=1)], None), pa.string()), pa.array(ok)],
+                names=[*b.schema.names[:width], "language", "posterior", "text_language", "accepted"])
+    return run
 
 
 class _Scorer:
