@@ -21,10 +21,8 @@ named like an output column are not touched (only id and text are read).
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import product
-
 from re import _constants as sre
 from re import _parser as sre_parse
 
@@ -246,11 +244,3 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hit = F.size("_secret_spans") > 0
     out = s.withColumn(text_col, F.when(hit, cut).otherwise(text))
     return restore(out.withColumn(changed, hit) if changed else out)
-
-
-def match_spans(text: str, rules=BASE_RULES) -> list[tuple[int, int, int]]:
-    """The spans of one text by Python's regex engine, for tests."""
-    out = []
-    for rank, r in enumerate(rules):
-        out += [(m.start(), rank, m.end()) for m in re.finditer(r.regex, text) if len(m.group(r.group)) >= r.least]
-    return sorted(out)

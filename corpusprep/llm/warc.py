@@ -33,8 +33,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import hot_keys, lookup_join, range_bounds, range_of
+from corpusprep.llm.common import hot_keys, lookup_join, range_bounds, range_of, shuffle_partitions
 
+#: Ranges of time, at least; as many as shuffle partitions where those are more.
 TIME_RANGES = 64
 #: Query parameters that do not change a page, headers a
 #: not-modified answer does not update.
@@ -66,7 +67,7 @@ def merge_headers(stored: Column, update: Column) -> Column:
     return F.map_concat(F.map_filter(stored, lambda k, _: ~F.array_contains(F.map_keys(permitted), k)), permitted)
 
 
-def resolve_revisits(records: DataFrame, time_ranges: int = TIME_RANGES) -> DataFrame:
+def resolve_revisits(records: DataFrame, time_ranges: int | None = None) -> DataFrame:
     """One row per revisit of ``records(record_id, kind, url, time, status, etag,
     last_modified, digest, headers)``: ``record_id, canonical_url, outcome,
     response_id, response_time, headers``."""
@@ -74,7 +75,8 @@ def resolve_revisits(records: DataFrame, time_ranges: int = TIME_RANGES) -> Data
     r = records.select(F.col("record_id").cast("long").alias("record_id"), "kind", canonical_url(F.col("url")).alias("canonical_url"),
                        F.col("time").cast("long").alias("time"), F.col("status").cast("int").alias("status"),
                        "etag", "last_modified", "digest", _lower_keys(F.col("headers")).alias("headers"))
-    place = range_of(range_bounds(r, "time", time_ranges), "time")
+    ranges = time_ranges or max(TIME_RANGES, shuffle_partitions(records.sparkSession))
+    place = range_of(range_bounds(r, "time", ranges), "time")
     full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("time").isNotNull() & F.col("record_id").isNotNull()
     revisit = F.col("kind") == "revisit"
     # revisits without URL or time are kept apart, spread by id
