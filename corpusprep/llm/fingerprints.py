@@ -6,9 +6,13 @@ one subtraction and one product, whatever its place, so two spans compare in
 constant time and the longest common extension is a binary search.
 
 A fingerprint is the whole text's hash and length and the ``SKETCH`` smallest
-hashes of its spans of ``SPAN`` code points (a shorter text is one span). The
-likeness of two fingerprints estimates the share of spans they have in common
-(2 |A and B| / (|A| + |B|)) from the smallest hashes of the union.
+hashes of its spans of ``SPAN`` code points (a shorter text is one span). A text
+of under ``8 * SPAN`` points has a second sketch, of narrower spans: an eighth of
+its length, rounded down to a power of two, and 2 at least (1 below 4 points).
+The likeness of two texts estimates the share of spans they have in common
+(2 |A and B| / (|A| + |B|)) from the smallest hashes of the union; both are cut
+into spans of the shorter text's width, so a text that keeps half of its points,
+or all but one, also keeps spans.
 
 ``edited_report`` compares every text with the next one and with an edited text
 made of both. Neighbours by descending id are found without a global sort in
@@ -132,15 +136,20 @@ class Prefix:
                 high = mid - 1
         return low
 
-    def sketch(self) -> np.ndarray:
+    def sketch(self, width: int = SPAN) -> np.ndarray:
         """The ``SKETCH`` smallest distinct span hashes (top 40 bits), ascending."""
         if not self.n:
             return np.zeros(0, np.uint64)
-        width = min(SPAN, self.n)
+        width = min(width, self.n)
         h = self.spans(0, self.n - width + 1, width) >> np.uint64(64 - 4 * DIGITS)
         return smallest(h)
 
 
+def span_width(n: int) -> int:
+    """Width of the spans by which a text of ``n`` points is compared."""
+    return 1 if n < 4 else min(SPAN, max(2, 1 << (n // 8).bit_length() >> 1))
+
+
 def smallest(h: np.ndarray) -> np.ndarray:
     limit, n = SKETCH, len(h)
     if n > 8 * limit:  # a first cut that holds enough, unless spans repeat a lot
@@ -157,10 +166,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _hex(sketch: np.ndarray) -> str:
+    return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - DIGITS // 2:].tobytes().hex()
+
+
 def fingerprint(p: Prefix, sketch: np.ndarray) -> str:
-    """Hash and length of the whole text, then the sketch, in hex."""
-    tail = sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - DIGITS // 2:].tobytes().hex()
-    return f"{p.span(0, p.n):016x}{p.n:08x}{tail}"
+    """Hash and length of the whole text, then the sketch, in hex; of a short
+    text also ``:`` and the sketch of its narrower spans."""
+    width = span_width(p.n)
+    return f"{p.span(0, p.n):016x}{p.n:08x}{_hex(sketch)}" + (f":{_hex(p.sketch(width))}" if width < SPAN else "")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -173,6 +187,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * j / (1 + j)
 
 
+def near(p: Prefix, a: np.ndarray, q: Prefix, b: np.ndarray) -> float:
+    """Likeness of two texts with sketches ``a`` and ``b``, by spans of the shorter one's width."""
+    width = span_width(min(p.n, q.n))
+    return likeness(a, b) if width == SPAN or not p.n or not q.n else likeness(p.sketch(width), q.sketch(width))
+
+
 class _Doc:
     __slots__ = ("bucket", "name", "points", "prefix", "sketch")
 
@@ -191,7 +211,7 @@ def _compare(doc: _Doc, following: _Doc) -> tuple:
     text = np.concatenate([doc.points[:n - half], donor]).tobytes().decode("utf-32-le", "surrogatepass")
     return (doc.name, n, hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(),
             fingerprint(doc.prefix, doc.sketch), fingerprint(edited, sketch),
-            likeness(doc.sketch, sketch), likeness(doc.sketch, following.sketch), doc.prefix.extension(0, edited, 0))
+            near(doc.prefix, doc.sketch, edited, sketch), near(doc.prefix, doc.sketch, following.prefix, following.sketch), doc.prefix.extension(0, edited, 0))
 
 
 _OUT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),

@@ -104,3 +104,20 @@ def test_likeness_estimates_the_shared_share():
     half = a[:len(a) // 2] + b[:len(a) // 2]
     assert abs(fp.likeness(sketch(a), sketch(half)) - 0.5) < 0.17
     assert abs(np.mean([fp.likeness(sketch(a), sketch(a[:int(len(a) * s)])) - 2 * s / (1 + s) for s in (0.2, 0.4, 0.6, 0.8, 0.9)])) < 0.1
+
+
+def test_half_edited_short_texts_are_near(shipped):
+    """A text of 4 to 64 points that keeps half of its points, or all but one, is not like an unrelated one."""
+    text = lambda n, first: "".join(chr(first + i) for i in range(n))
+    rows = [(2 * n + k, text(n, 0x4E00 + 0x1000 * k)) for n in range(4, 65) for k in (0, 1)]
+    for r in fp.edited_report(shipped.createDataFrame(rows, "doc_id long, text string")).collect():
+        if r.doc_id != 8:  # the last one's next is the first one
+            assert r.near_next == 0 and 0.2 < r.near_edited < 0.6, r
+    near = lambda a, b: fp.near(a, a.sketch(), b, b.sketch())
+    for n in range(2, 65):
+        a = text(n, 97)
+        for i in range(n):
+            assert 0 < near(*(fp.Prefix(fp.code_points(t)) for t in (a, a[:i] + "!" + a[i + 1:]))) < 1
+    # a short text in a long one: at the short one's width
+    long, short = text(400, 0x4E00), text(40, 0x4E10)
+    assert 0 < near(*(fp.Prefix(fp.code_points(t)) for t in (long, short))) < 0.5
