@@ -11,8 +11,9 @@ has an odd product with ``v``. Up to ``radius`` differing positions span at
 most ``radius`` dimensions, so some ``v`` is orthogonal to all of their codes,
 and its mask leaves all of them out: the pair meets in that table, always.
 A bucket with more than ``BUCKET_ROWS`` distinct fingerprints is dealt again by
-the same construction over the positions its mask left free. After
-``levels`` rounds so few positions are free that a bucket of *distinct*
+the same construction over the positions its mask left free, as long as more
+than ``FREE`` are: fewer would not span all dimensions, and pairs would be lost.
+After ``levels`` rounds so few positions are free that a bucket of *distinct*
 fingerprints is bounded (2 ** free): no bucket needs a cap.
 
 Edge cases: null and empty texts have fingerprint zero and link like others;
@@ -36,6 +37,8 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 BUCKET_ROWS = 1024
+#: Positions over which no bucket is dealt again, however few rows it may have (``2 ** radius``: all codes' dimensions).
+FREE = 8
 CHUNK = 1 << 16
 
 
@@ -120,9 +123,12 @@ def simhash_links(classes: DataFrame, radius: int = MAX_BITS, bucket_rows: int =
     while True:
         keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         # distinct masks may leave the same positions free; a bucket is named by mask and key
-        big = keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
         free = {m: [p for p in range(64) if not (m & full) >> p & 1] for m in masks}
-        last = max(map(len, free.values())) <= bucket_rows.bit_length() - 1  # 2 ** free <= bucket_rows
+        stop = max(FREE, 1 << radius, bucket_rows.bit_length() - 1)  # 2 ** free <= bucket_rows, or all dimensions are in need
+        masks = [m for m in masks if len(free[m]) > stop]
+        wide = F.broadcast(spark.createDataFrame([(_signed(m),) for m in masks], "mask long"))
+        big = keyed.join(wide, "mask", "left_semi").groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
+        last = not masks
         deal = False if last else (big := materialize(big, "simhash-big")).limit(1).count() > 0
         fits = keyed.join(big, ["mask", "key"], "left_anti") if deal else keyed
         buckets = fits.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"), F.collect_list("rep").alias("ids")) \
@@ -131,7 +137,7 @@ def simhash_links(classes: DataFrame, radius: int = MAX_BITS, bucket_rows: int =
         parts = edges if parts is None else parts.union(edges)
         if not deal:
             return parts
-        finer = [(_signed(m), _signed(m | s)) for m in masks for s in covering_masks(free[m], radius) if s]
+        finer = [(_signed(m), _signed(m | s)) for m in masks for s in covering_masks(free[m], radius)]
         masks = [m & full for m in {b for _, b in finer}]
         table = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))  # 15 ** level rows
         keyed = keyed.join(big, ["mask", "key"], "left_semi").join(table, "mask") \

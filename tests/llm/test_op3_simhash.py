@@ -72,3 +72,22 @@ def test_empty_table_and_clashing_columns(shipped, empty):
     df = shipped.createDataFrame([(1, "a b c", 5, "x"), (2, "a b c", 6, "y")], "doc_id long, text string, fp long, component_id string")
     assert sorted(tuple(r)[::2] for r in simhash.simhash_components(df).collect()) == [(1, 1), (2, 1)]
     assert simhash.keep_representatives(df).columns == df.columns
+
+
+def test_pairs_in_full_buckets_over_few_positions(shipped):
+    """Dealing stops while the free positions still span all dimensions, whatever ``bucket_rows``."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    # zero, a word three bits away, and words near zero that fill every bucket those two meet in
+    for apart in ([5, 49, 53], [33, 51, 62], [38, 45, 61]):
+        words = [0, sum(1 << p for p in apart), *(1 << p for p in range(64) if p not in apart)]
+        df = shipped.createDataFrame([(signed(f), i) for i, f in enumerate(words)], "fp long, rep long")
+        comp = {r["id"]: r["component"] for r in simhash.connected_components(simhash.simhash_links(df, bucket_rows=2)).collect()}
+        assert [comp.get(i) for i in range(len(words))] == [0] * len(words), apart
+    masks = simhash.covering_masks(list(range(64)), 3)
+    for _ in range(2):
+        masks = [m | s for m in masks for s in simhash.covering_masks([p for p in range(64) if not m >> p & 1], 3) if s]
+    at = next(f for f in ([p for p in range(64) if not m >> p & 1] for m in masks) if len(f) == 8)
+    cube = [sum(1 << p for k, p in enumerate(at) if v >> k & 1) for v in range(256)]
+    df = shipped.createDataFrame([(signed(f), i) for i, f in enumerate(cube)], "fp long, rep long")
+    comp = {r["id"]: r["component"] for r in simhash.connected_components(simhash.simhash_links(df, bucket_rows=2)).collect()}
+    assert [comp.get(i) for i in range(256)] == [0] * 256
