@@ -10,9 +10,13 @@ token, learned from the training documents (``crc32(id as text) mod 7 <> 2``):
 It sums to one over the vocabulary and one unknown word. As an automaton: a
 context with ``c(h) > 0`` is a state; an n-gram seen in training is an arc with
 weight ``log10 Pn``; any other word takes the state's failure arc, weight
-``log10 L_n``, to the state of the shorter context, down to the unigrams. The
-traversal goes over a text once from left to right, the state being the
-last words read.
+``log10 L_n``, to the state of the shorter context, down to the unigrams. A
+traversal would go over a text once from left to right, the state being the
+last words read. ``_score`` builds no states or arcs and carries no state: the
+state at a position is fixed by the words before it, so the weights of all
+positions of a block are evaluated in one array pass per order, as lookups of
+n-gram counts by hash. The probabilities are the automaton's; a traversal
+would step through every word in Python.
 
 The automaton of the whole corpus is never in one place. Documents are dealt
 into blocks by ranges of their id. One pass gathers the distinct n-grams of
