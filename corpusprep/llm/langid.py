@@ -275,10 +275,11 @@ def identify_documents(docs: DataFrame, pages: DataFrame | None = None, id_col:
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     host_col: str | None = "source") -> DataFrame:
-    """``docs`` without the rows whose language is not accepted. A document's
-    rows are named by id; rows with a null id are named by their text."""
+    """``docs`` without the rows whose language is not accepted. A row is named
+    by its id and a hash of what it is judged by, so only full copies share a fate."""
     src, (id_col, text_col, lang_col, host_col), restore = sealed(docs, id_col, text_col, lang_col, host_col)
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    judged = [F.md5(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))) for c in (text_col, lang_col, host_col) if c]
+    key = F.concat_ws(" ", F.col(id_col).cast("string"), F.md5(F.concat(*judged)))
     keyed = src.withColumn("_key", key)
     rows = document_rows(keyed, "_key", text_col, lang_col, host_col)
     model = train_text_model(rows.select(F.col("declared").alias("lang"), "text"))

@@ -64,15 +64,21 @@ def fingerprint(data: bytes | None, shingle: int = SHINGLE_WORDS) -> bytes:
 def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id long, fp long)``, one row per input row; one narrow Arrow pass."""
+    return _prints(docs, id_col, text_col, shingle).select("doc_id", "fp")
+
+
+def _prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``(doc_id long, h long, fp long)``, ``h`` a hash of the text as it is."""
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.binary())
+            texts = b.column(2).cast(pa.binary())
             fps = b"".join(fingerprint(t.as_py(), shingle) for t in texts)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.frombuffer(fps, ">i8").astype("i8"))], names=["doc_id", "fp"])
+                [b.column(0), b.column(1), pa.array(np.frombuffer(fps, ">i8").astype("i8"))], names=["doc_id", "h", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("h"),
+                      F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def covering_masks(free: list[int], radius: int) -> list[int]:
@@ -160,11 +166,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
                          radius: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each group: that of its smallest id (of rows
-    repeating an id, one). Rows with a null id cannot be named and stay."""
+    repeating it, one). Rows are named by id and text, so different texts that
+    share an id are in one group only if they are near. Rows with a null id
+    cannot be named and stay."""
     src, (id_col, text_col), restore = sealed(docs, id_col, text_col)
-    groups = simhash_components(src, id_col, text_col, shingle, radius)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    one = Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
-    named = src.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi") \
-        .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
-    return restore(named.unionByName(src.where(F.col(id_col).isNull())))
+    # groups of fingerprints, not of ids; each is named by its first id and text
+    named = _prints(src.where(F.col(id_col).isNotNull()), id_col, text_col, shingle)
+    classes = materialize(named.groupBy("fp").agg(F.min(F.struct("doc_id", "h")).alias("first")), "simhash-class")
+    comp = connected_components(simhash_links(classes.select("fp", F.col("fp").alias("rep")), radius))
+    kept = classes.join(comp.withColumnRenamed("id", "fp"), "fp", "left") \
+        .groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first")) \
+        .select(F.col("first.doc_id").alias("_kept"), F.col("first.h").alias("_text"))
+    h = F.xxhash64(F.col(text_col).cast("string"))
+    one = Window.partitionBy(F.col(id_col), "_h").orderBy(F.lit(0))
+    rows = src.withColumn("_h", h)
+    out = rows.join(kept, (F.col(id_col).cast("long") == F.col("_kept")) & (F.col("_h") == F.col("_text")), "left_semi") \
+        .withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy", "_h")
+    return restore(out.unionByName(src.where(F.col(id_col).isNull())))

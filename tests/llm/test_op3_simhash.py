@@ -91,3 +91,12 @@ def test_pairs_in_full_buckets_over_few_positions(shipped):
     df = shipped.createDataFrame([(signed(f), i) for i, f in enumerate(cube)], "fp long, rep long")
     comp = {r["id"]: r["component"] for r in simhash.connected_components(simhash.simhash_links(df, bucket_rows=2)).collect()}
     assert [comp.get(i) for i in range(256)] == [0] * 256
+
+
+def test_different_texts_that_share_an_id_stay(shipped):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(300))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (1, a), (1, b), (2, a), (3, b), (4, c), (1, c)]
+    kept = simhash.keep_representatives(shipped.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, a), (1, b), (1, c)])

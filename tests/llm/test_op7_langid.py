@@ -105,3 +105,10 @@ def test_rejected_documents_go_and_clean_ones_stay(tricky, tricky_rows):
     assert any(len(t) > 1000 for t in texts) and None not in texts
     by = {r[0]: r[1] for r in tricky_rows if r[0] is not None}
     assert all(r.text == by[r.doc_id] for r in rows if r.doc_id is not None)
+
+
+def test_a_rejected_text_takes_no_other_text_of_its_id(tricky, tricky_rows, shipped):
+    good = [r for r in tricky_rows if r[0] is not None and r[0] < 60 and r[0] >= 0]
+    rows = [*good, *((r[0], "!!! 123", *r[2:]) for r in good)]
+    kept = langid.keep_identified(shipped.createDataFrame(rows, tricky.schema).repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(r[:2] for r in good)
