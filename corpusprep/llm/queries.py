@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity, warc
+from corpusprep.llm import collocations, embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity, warc
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,11 @@ _register(op6_warc_revisits, warc.ORACLE_SQL)
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of all documents."""
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of all documents, by language."""
+    return collocations.mine_collocations(_table(spark, sf_dir, "documents"))
+
+
+_register(op13_collocations, collocations.ORACLE_SQL)
