@@ -44,7 +44,7 @@ from corpusprep.llm.common import materialize
 LEAST = 30
 KEEP = 2000
 LONGEST = 4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 FILTER_BITS = 26
 SALTS = 64
 
