@@ -1,12 +1,12 @@
 """Phrase collocations from count streams kept in prefix and in suffix order.
 
 1. Counting. Tasks cut blocks of at most ``BLOCK_BYTES`` of text into words,
-   count their phrases by sorting, and a grouped sum adds the blocks up. Words and
-   pairs come first. Phrases of three and four words are counted in a second
-   reading, only where all their pairs pass a filter of ``FILTER_BITS`` bits that
-   holds every pair with ``least`` or more occurrences: such a filter has no false
-   negatives, so the counts of frequent phrases stay exact; a full one
-   only lets more phrases through.
+   count their phrases by sorting, and a grouped sum adds the blocks up: first
+   words, then pairs of which both words pass a filter, then phrases of three and four
+   words of which all pairs pass one. A filter has ``2 ** filter_bits`` bits,
+   whatever it holds, and holds every word (pair) with ``least`` or more
+   occurrences. It has no false negatives, so the counts of frequent phrases
+   are exact; a full one only lets more phrases through.
 2. Streams. Phrases of all orders with ``least`` or more occurrences make one
    stream in prefix order (sorted by their words) and one in suffix order (by
    their words from the last). In prefix order a phrase stands before all
@@ -47,6 +47,8 @@ LONGEST = 4
 BLOCK_BYTES = 6 << 20
 FILTER_BITS = 26
 SALTS = 64
+#: The second word of a single word's place in a filter: the hash of no text.
+NO_WORD = np.uint64(xxhash.xxh64_intdigest(b""))
 
 #: Byte classes: 0 in a word, 1 between words, 2 between pieces.
 _CLASS = np.zeros(256, np.uint8)
@@ -102,11 +104,11 @@ class Block:
         found, dense, count = np.unique(key, return_inverse=True, return_counts=True)
         return found // max(1, len(self.words)), found % max(1, len(self.words)), count, dense
 
-    def table(self, lang: np.ndarray, codes: list[np.ndarray], count: np.ndarray, width: int) -> pa.RecordBatch:
+    def table(self, lang: np.ndarray, codes: list[np.ndarray], count: np.ndarray, width: int) -> list[pa.RecordBatch]:
         words = [self.words.take(pa.array(c)).cast(pa.large_string()).cast(pa.string()) for c in codes]
         words += [pa.nulls(len(count), pa.string())] * (width - len(words))
-        return pa.RecordBatch.from_arrays([self.langs.take(pa.array(lang)).cast(pa.string()), *words, pa.array(count.astype(np.int64))],
-                                          names=["lang", *[f"w{i + 1}" for i in range(width)], "c"])
+        return pa.table([self.langs.take(pa.array(lang)).cast(pa.string()), *words, pa.array(count.astype(np.int64))],
+                        names=["lang", *[f"w{i + 1}" for i in range(width)], "c"]).to_batches(max_chunksize=1 << 16)
 
 
 def _blocks(batches):
@@ -136,21 +138,21 @@ def _whole(column) -> pa.Array:
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
 
 
-def _words_and_pairs(batches):
+def _words(batches):
+    """Counts of words, and of all words of a language (its row has no word)."""
     for block in _blocks(batches):
-        lang, code, count, single = block.singles()
+        lang, code, count, _ = block.singles()
         total = np.bincount(lang, weights=count, minlength=len(block.langs)).astype(np.int64)
-        yield block.table(np.arange(len(block.langs)), [], total, 2)
-        if not len(code):
-            continue
-        yield block.table(lang, [code], count, 2)
-        place = np.flatnonzero(block.joined)
-        old, new, n, _ = block.extend(place, single[place], 1)
-        yield block.table(lang[old], [code[old], new], n, 2)
+        yield from block.table(np.arange(len(block.langs)), [], total, 1)
+        yield from block.table(lang, [code], count, 1)
 
 
-def _mix(lang: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places in a filter of ``2 ** bits`` bits for pairs of word hashes."""
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
+
+
+def _spots(lang: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places in a filter of ``2 ** bits`` bits, from hashes of a language and of two words."""
     with np.errstate(over="ignore"):
         x = (lang * np.uint64(0x9E3779B97F4A7C15) ^ a) * np.uint64(0xBF58476D1CE4E5B9) + b
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
@@ -159,14 +161,18 @@ def _mix(lang: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> tuple[np.
     return x & mask, (x >> np.uint64(32)) & mask
 
 
-def _hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
+def _passes(table: np.ndarray, lang: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    ok = np.ones(len(a), bool)
+    for spot in _spots(lang, a, b, bits):
+        ok &= (table[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return ok
 
 
 def _filter_words(bits: int):
     def run(batches):
         for b in batches:
-            spots = np.concatenate(_mix(*(_hashes(_whole(b.column(c))) for c in ("lang", "w1", "w2")), bits))
+            lang, first, second = (_hashes(b.column(c)) for c in ("lang", "w1", "w2"))
+            spots = np.concatenate(_spots(lang, first, second, bits))
             slot, inverse = np.unique(spots >> np.uint64(6), return_inverse=True)
             held = np.zeros(len(slot), np.uint64)
             np.bitwise_or.at(held, inverse, np.uint64(1) << (spots & np.uint64(63)))
@@ -174,42 +180,54 @@ def _filter_words(bits: int):
     return run
 
 
-def pair_filter(pairs: DataFrame, bits: int) -> np.ndarray:
-    """A bit filter of all ``pairs``: ``2 ** bits / 64`` words, whatever their number."""
-    found = pairs.select("lang", "w1", "w2").mapInArrow(_filter_words(bits), "slot long, held long") \
+def phrase_filter(phrases: DataFrame, bits: int) -> np.ndarray:
+    """A bit filter of all ``(lang, w1, w2)``: ``2 ** bits / 64`` numbers, whatever the rows."""
+    found = phrases.select("lang", "w1", "w2").mapInArrow(_filter_words(bits), "slot long, held long") \
         .groupBy("slot").agg(F.bit_or("held").alias("held")).toArrow()  # at most 2 ** bits / 64 rows
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[found.column("slot").to_numpy()] = found.column("held").to_numpy().view(np.uint64)
     return out
 
 
-def _longer(held, bits: int, longest: int):
-    """Phrases of 3 to ``longest`` words whose pairs all pass the filter."""
+def _good_pairs(block: Block, words: np.ndarray, bits: int):
+    """The pairs of words that both pass: places, dense ids, then language, words and count of the distinct ones."""
+    lang, code, _, single = block.singles()
+    h, tongue = _hashes(block.words), _hashes(block.langs)
+    known = _passes(words, tongue[lang], h[code], np.full(len(code), NO_WORD), bits)[single] if len(code) else np.zeros(0, bool)
+    place = np.flatnonzero(block.joined & known[:-1] & known[1:])
+    old, new, count, dense = block.extend(place, single[place], 1)
+    return place, dense, lang[old], [code[old], new], count, h, tongue
+
+
+def _pairs(held, bits: int):
+    """Counts of pairs whose words both pass the filter."""
     def run(batches):
-        table = held.value
         for block in _blocks(batches):
-            place = np.flatnonzero(block.joined)
-            if not len(place):
+            if len(block.code):
+                _, _, lang, codes, count, _, _ = _good_pairs(block, held.value, bits)
+                yield from block.table(lang, codes, count, 2)
+    return run
+
+
+def _longer(held, pairs_held, bits: int, longest: int):
+    """Counts of phrases of 3 to ``longest`` words whose pairs all pass the filter."""
+    def run(batches):
+        for block in _blocks(batches):
+            if not len(block.code):
                 continue
-            lang, code, _, single = block.singles()
-            old, new, _, dense = block.extend(place, single[place], 1)
-            h, hl = _hashes(block.words), _hashes(block.langs)
-            ok = np.ones(len(old), bool)
-            for spot in _mix(hl[lang[old]], h[code[old]], h[new], bits):
-                ok &= (table[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
-            good = np.zeros(len(block.code), bool)  # the pair that begins here passes
-            good[place] = ok[dense]
-            keep = ok[dense]
+            place, dense, lang, codes, _, h, tongue = _good_pairs(block, held.value, bits)
+            keep = _passes(pairs_held.value, tongue[lang], h[codes[0]], h[codes[1]], bits)[dense]
             place, ids = place[keep], dense[keep]
-            tongue, codes = lang[old], [code[old], new]
+            good = np.zeros(len(block.code), bool)  # a good pair begins here
+            good[place] = True
             for k in range(2, longest):
-                more = good[place + k - 1]  # a pair begins at the phrase's last word
+                more = good[place + k - 1]  # one begins at the phrase's last word
                 place, ids = place[more], ids[more]
                 if not len(place):
                     break
-                old, new, n, ids = block.extend(place, ids, k)
-                tongue, codes = tongue[old], [*(c[old] for c in codes), new]
-                yield block.table(tongue, codes, n, longest)
+                old, new, count, ids = block.extend(place, ids, k)
+                lang, codes = lang[old], [*(c[old] for c in codes), new]
+                yield from block.table(lang, codes, count, longest)
     return run
 
 
@@ -218,16 +236,27 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """``(lang, words, f)`` of all phrases of up to ``longest`` words with ``least`` or
     more occurrences, single words included, and ``(lang, n)``, all words of a language."""
     src = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    send = src.sparkSession.sparkContext.broadcast
     names = [f"w{i + 1}" for i in range(longest)]
-    short = src.mapInArrow(_words_and_pairs, "lang string, w1 string, w2 string, c long").groupBy("lang", "w1", "w2").agg(F.sum("c").alias("f"))
-    short = materialize(short.where((F.col("f") >= least) | F.col("w1").isNull()), "phrases-short")
-    totals = short.where("w1 is null").select("lang", F.col("f").alias("n"))
-    grams = short.where("w1 is not null").select("lang", F.array_compact(F.array("w1", "w2")).alias("words"), "f")
+
+    def counted(run, width: int) -> DataFrame:
+        """Summed over blocks; a phrase has one row a block, so none is hot, and blocks are combined already."""
+        by = ["lang", *names[:width]]
+        found = src.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in names[:width]) + ", c long")
+        total = found.repartition(*by).groupBy(*by).agg(F.sum("c").alias("f"))
+        return materialize(total.where((F.col("f") >= least) | F.col("w1").isNull()), f"phrases-{width}")
+
+    words = counted(_words, 1)
+    totals = words.where("w1 is null").select("lang", F.col("f").alias("n"))
+    words = words.where("w1 is not null")
+    grams = words.select("lang", F.array("w1").alias("words"), "f")
+    if longest > 1:
+        held = send(phrase_filter(words.withColumn("w2", F.lit("")), filter_bits))
+        pairs = counted(_pairs(held, filter_bits), 2)
+        grams = grams.union(pairs.select("lang", F.array("w1", "w2").alias("words"), "f"))
     if longest > 2:
-        held = src.sparkSession.sparkContext.broadcast(pair_filter(short.where("w2 is not null"), filter_bits))
-        long = src.mapInArrow(_longer(held, filter_bits, longest), "lang string, " + ", ".join(f"{w} string" for w in names) + ", c long") \
-            .groupBy("lang", *names).agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-        long = materialize(long, "phrases-long")
+        pairs_held = send(phrase_filter(pairs, filter_bits))
+        long = counted(_longer(held, pairs_held, filter_bits, longest), longest)
         grams = grams.union(long.select("lang", F.array_compact(F.array(*names)).alias("words"), "f"))
     return grams, totals
 
