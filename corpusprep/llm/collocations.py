@@ -104,11 +104,14 @@ class Block:
         found, dense, count = np.unique(key, return_inverse=True, return_counts=True)
         return found // max(1, len(self.words)), found % max(1, len(self.words)), count, dense
 
-    def table(self, lang: np.ndarray, codes: list[np.ndarray], count: np.ndarray, width: int) -> list[pa.RecordBatch]:
-        words = [self.words.take(pa.array(c)).cast(pa.large_string()).cast(pa.string()) for c in codes]
-        words += [pa.nulls(len(count), pa.string())] * (width - len(words))
-        return pa.table([self.langs.take(pa.array(lang)).cast(pa.string()), *words, pa.array(count.astype(np.int64))],
-                        names=["lang", *[f"w{i + 1}" for i in range(width)], "c"]).to_batches(max_chunksize=1 << 16)
+    def rows(self, lang: np.ndarray, codes: list[np.ndarray], count: np.ndarray) -> list[pa.RecordBatch]:
+        """``(phrase, c)``: the words, a tab, the language. Words hold neither spaces nor
+        tabs. One short string a row is what the shuffle carries best."""
+        words = [self.words.take(pa.array(c)) for c in codes] or [pa.array([b""] * len(lang), pa.large_binary())]
+        phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if len(words) > 1 else words[0]
+        phrase = pc.binary_join_element_wise(phrase, self.langs.cast(pa.large_binary()).take(pa.array(lang)), pa.scalar(b"\t", pa.large_binary()))
+        phrase = phrase.cast(pa.large_string()).cast(pa.string())
+        return pa.table([phrase, pa.array(count.astype(np.int64))], names=["phrase", "c"]).to_batches(max_chunksize=1 << 16)
 
 
 def _blocks(batches):
@@ -143,8 +146,8 @@ def _words(batches):
     for block in _blocks(batches):
         lang, code, count, _ = block.singles()
         total = np.bincount(lang, weights=count, minlength=len(block.langs)).astype(np.int64)
-        yield from block.table(np.arange(len(block.langs)), [], total, 1)
-        yield from block.table(lang, [code], count, 1)
+        yield from block.rows(np.arange(len(block.langs)), [], total)
+        yield from block.rows(lang, [code], count)
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
@@ -205,7 +208,7 @@ def _pairs(held, bits: int):
         for block in _blocks(batches):
             if len(block.code):
                 _, _, lang, codes, count, _, _ = _good_pairs(block, held.value, bits)
-                yield from block.table(lang, codes, count, 2)
+                yield from block.rows(lang, codes, count)
     return run
 
 
@@ -227,7 +230,7 @@ def _longer(held, pairs_held, bits: int, longest: int):
                     break
                 old, new, count, ids = block.extend(place, ids, k)
                 lang, codes = lang[old], [*(c[old] for c in codes), new]
-                yield from block.table(lang, codes, count, longest)
+                yield from block.rows(lang, codes, count)
     return run
 
 
@@ -237,27 +240,25 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     more occurrences, single words included, and ``(lang, n)``, all words of a language."""
     src = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     send = src.sparkSession.sparkContext.broadcast
-    names = [f"w{i + 1}" for i in range(longest)]
 
-    def counted(run, width: int) -> DataFrame:
+    def counted(run, name: str) -> DataFrame:
         """Summed over blocks; a phrase has one row a block, so none is hot, and blocks are combined already."""
-        by = ["lang", *names[:width]]
-        found = src.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in names[:width]) + ", c long")
-        total = found.repartition(*by).groupBy(*by).agg(F.sum("c").alias("f"))
-        return materialize(total.where((F.col("f") >= least) | F.col("w1").isNull()), f"phrases-{width}")
-
-    words = counted(_words, 1)
-    totals = words.where("w1 is null").select("lang", F.col("f").alias("n"))
-    words = words.where("w1 is not null")
-    grams = words.select("lang", F.array("w1").alias("words"), "f")
+        total = src.mapInArrow(run, "phrase string, c long").repartition("phrase").groupBy("phrase").agg(F.sum("c").alias("f"))
+        kept = materialize(total.where((F.col("f") >= least) | F.col("phrase").startswith("\t")), name)
+        tab = F.instr("phrase", "\t")
+        return kept.select(F.col("phrase").substr(tab + 1, F.length("phrase")).alias("lang"),
+                           F.array_remove(F.split(F.col("phrase").substr(F.lit(1), tab - 1), " "), "").alias("words"), "f")
+
+    words = counted(_words, "phrases-1")
+    totals = words.where("size(words) = 0").select("lang", F.col("f").alias("n"))
+    grams = words.where("size(words) = 1")
     if longest > 1:
-        held = send(phrase_filter(words.withColumn("w2", F.lit("")), filter_bits))
-        pairs = counted(_pairs(held, filter_bits), 2)
-        grams = grams.union(pairs.select("lang", F.array("w1", "w2").alias("words"), "f"))
+        held = send(phrase_filter(grams.select("lang", F.col("words")[0].alias("w1"), F.lit("").alias("w2")), filter_bits))
+        pairs = counted(_pairs(held, filter_bits), "phrases-2")
+        grams = grams.union(pairs)
     if longest > 2:
-        pairs_held = send(phrase_filter(pairs, filter_bits))
-        long = counted(_longer(held, pairs_held, filter_bits, longest), longest)
-        grams = grams.union(long.select("lang", F.array_compact(F.array(*names)).alias("words"), "f"))
+        pairs_held = send(phrase_filter(pairs.select("lang", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2")), filter_bits))
+        grams = grams.union(counted(_longer(held, pairs_held, filter_bits, longest), "phrases-long"))
     return grams, totals
 
 
