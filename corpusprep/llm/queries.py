@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusprep.llm import collocations, embeddings, fingerprints, langid, lm, mix, pack, secrets, simhash, toxicity, warc
+from corpusprep.llm import collocations, embeddings, fingerprints, langid, lm, mix, neighbours, pack, secrets, simhash, spelling, toxicity, warc
 from corpusprep.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,17 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _register(op13_collocations, collocations.ORACLE_SQL)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+_register(op12_spelling, spelling.ORACLE_SQL)
+
+
+@_register
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every fiftieth vector, among all."""
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"))
