@@ -5,14 +5,14 @@ added up by a grouped sum. The dictionary becomes two tries kept as one
 distributed edge table: words read forwards (``dir`` 0) and backwards (``dir`` 1). A node
 is named by its letters, and has a row only if two or more words
 lie below it; the row holds its edges, at most one a letter. An edge to a single word carries
-that word, so nothing below it is stored; any other edge carries a 64-bit
-signature of the rests of the words below.
+what that word has left, so nothing below it is stored; any other edge carries two 64-bit
+signatures of the rests of the words below.
 
 States ``(word, position, node, edits)`` are joined with the edges of one depth at
 a time. A state without an edit stays on its word's own path; at each node it may
 replace, insert or drop a letter and goes on as a state with one edit, which
 may only match. A step is taken only if the rest of the word is in the edge's
-signature: a wrong state may pass, a right one always does. A state that
+signatures: a wrong state may pass, a right one always does. A state that
 reaches the end of both words, or an edge whose single word is what is
 left to spell, is a pair of neighbours.
 
@@ -97,9 +97,10 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 # ---------------------------------------------------------------- trie
 
-def _bit(rest: Column) -> Column:
-    """The signature of a rest of a word: one of 64 bits."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(rest), F.lit(64)).cast("int"))
+def _bits(rest: Column) -> list[Column]:
+    """The two signatures of a rest of a word: one of 64 bits each."""
+    h = F.xxhash64(rest)
+    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int")) for x in (h, F.shiftright(h, 20))]
 
 
 def _read(words: DataFrame) -> DataFrame:
@@ -116,46 +117,55 @@ def _middle(m: Column) -> Column:
 
 def edge_table(words: DataFrame) -> DataFrame:
     """``(depth, dir, node, term, kids)``: the nodes with two or more words below, and
-    their edges ``(c, n, only, term, sig)``."""
+    their edges ``(c, rest, term, sig, sig2)``; ``rest`` is what a single word has left."""
     at = _read(words).withColumn("depth", F.explode(F.sequence(_middle(F.col("m") - 1), F.col("m"))))
     rest = F.expr("substring(w, depth + 2)")
+    bit, bit2 = _bits(rest)
     # a row without a letter is the end of a word at the node
-    edge = at.select("dir", "depth", F.expr("substring(w, 1, depth)").alias("node"), F.expr("substring(w, depth + 1, 1)").alias("c"), "w",
-                     (F.col("m") == F.col("depth") + 1).alias("ends"), _bit(rest).alias("bit"))
-    edges = edge.groupBy("depth", "dir", "node", "c").agg(F.count(F.lit(1)).alias("n"), F.min("w").alias("only"),
-                                                         F.max("ends").alias("term"), F.bit_or("bit").alias("sig"))
-    kid = F.when(F.col("c") != "", F.struct("c", "n", F.when(F.col("n") == 1, F.col("only")).alias("only"), "term", "sig"))
+    edge = at.select("dir", "depth", F.expr("substring(w, 1, depth)").alias("node"), F.expr("substring(w, depth + 1, 1)").alias("c"), rest.alias("rest"),
+                     bit.alias("bit"), bit2.alias("bit2"))
+    edges = edge.groupBy("depth", "dir", "node", "c").agg(F.count(F.lit(1)).alias("n"), F.min("rest").alias("rest"),
+                                                         F.bit_or("bit").alias("sig"), F.bit_or("bit2").alias("sig2"))
+    kid = F.when(F.col("c") != "", F.struct("c", F.when(F.col("n") == 1, F.col("rest")).alias("rest"), (F.col("rest") == "").alias("term"), "sig", "sig2"))
     nodes = edges.groupBy("depth", "dir", "node").agg(F.sum("n").alias("below"), F.max(F.col("c") == "").alias("term"), F.collect_list(kid).alias("kids"))
     return nodes.where("below > 1").drop("below")
 
 
 def _steps(state: DataFrame) -> DataFrame:
     """All steps of states that stand at a node: ``(w, m, dir, i, node, edits, done)``."""
-    here = F.col("node")
-
-    def step(kid: Column, i: Column, edits: int, rest: Column) -> Column:
-        """Over an edge: a neighbour (``done``), a state further down, or null."""
-        to = F.concat(here, kid["c"])
-        found = (kid["only"] == F.concat(to, rest)) | (kid["only"].isNull() & (rest == "") & kid["term"])
-        on = kid["only"].isNull() & (rest != "") & (kid["sig"].bitwiseAND(_bit(rest)) != 0)
-        node = F.when(found, F.concat(to, rest)).when(on, to)
-        return F.when(node.isNotNull(), F.struct(i.cast("int").alias("i"), node.alias("node"), F.lit(edits).alias("edits"), F.coalesce(found, F.lit(False)).alias("done")))
-
-    w, i, m = F.col("w"), F.col("i"), F.col("m")
-    a, after, b, later, rest = (F.expr(x) for x in ("substring(w, i + 1, 1)", "substring(w, i + 2)", "substring(w, i + 2, 1)", "substring(w, i + 3)", "substring(w, i + 1)"))
-    kids = F.col("kids")
-    none = F.lit(None).cast("struct<i int, node string, edits int, done boolean>")
-    on_own = lambda letter: F.filter(kids, lambda k: k["c"] == letter)
-    match = F.transform(on_own(a), lambda k: step(k, i + 1, 1, after))
-    own = F.transform(F.filter(kids, lambda k: (k["c"] == a) & (k["n"] > 1)),
-                      lambda k: F.struct((i + 1).alias("i"), F.concat(here, k["c"]).alias("node"), F.lit(0).alias("edits"), F.lit(False).alias("done")))
-    replaced = F.when(i < m, F.transform(F.filter(kids, lambda k: k["c"] != a), lambda k: step(k, i + 1, 1, after)))
-    inserted = F.transform(kids, lambda k: step(k, i, 1, rest))
-    dropped = F.when(i + 1 < m, F.transform(on_own(b), lambda k: step(k, i + 2, 1, later))) \
-        .when((i + 1 == m) & F.col("term"), F.array(F.struct(m.alias("i"), here.alias("node"), F.lit(1).alias("edits"), F.lit(True).alias("done"))))
-    empty = F.array(none)
-    fresh = F.concat(own, *[F.coalesce(x, empty) for x in (replaced, inserted, dropped)])
-    moves = F.array_compact(F.when(F.col("edits") == 0, fresh).otherwise(match))
+    def to_spell(at: str) -> Column:
+        rest = F.expr(f"substring(w, {at} + 1)")
+        bit, bit2 = _bits(rest)
+        return F.struct(rest.alias("rest"), (rest == "").alias("none"), bit.alias("bit"), bit2.alias("bit2"))
+
+    def over(kid: Column, left: Column) -> Column:
+        """Whether ``left`` may be spelled below the edge; of an edge to one word, whether it is."""
+        return F.when(kid["rest"].isNotNull(), kid["rest"] == left["rest"]).when(left["none"], kid["term"]) \
+            .otherwise((kid["sig"].bitwiseAND(left["bit"]) != 0) & (kid["sig2"].bitwiseAND(left["bit2"]) != 0))
+
+    def move(i: Column, edits: int, done: Column, *node: Column) -> Column:
+        return F.struct(i.cast("int").alias("i"), F.concat(F.col("node"), *node).alias("node"), F.lit(edits).alias("edits"), done.alias("done"))
+
+    def steps(kids: Column, i: Column, left: Column) -> Column:
+        """With an edit made: neighbours where one word or none is left to spell, states further down elsewhere."""
+        end = lambda k: k["rest"].isNotNull() | left["none"]
+        return F.transform(F.filter(kids, lambda k: over(k, left)),
+                           lambda k: move(i, 1, end(k), k["c"], F.when(end(k), left["rest"]).otherwise(F.lit(""))))
+
+    i, m, kids, fresh = F.col("i"), F.col("m"), F.col("kids"), F.col("edits") == 0
+    no = F.filter(F.array(move(i, 1, F.lit(True))), lambda x: F.lit(False))
+
+    def all_steps(at: Column) -> Column:  # ``at`` is worked out once a row, not once an edge
+        own = F.filter(kids, lambda k: k["c"] == at["a"])
+        match = F.transform(F.filter(own, lambda k: k["rest"].isNull()), lambda k: move(i + 1, 0, F.lit(False), k["c"]))
+        replaced = F.when(i < m, steps(F.filter(kids, lambda k: k["c"] != at["a"]), i + 1, at["after"])).otherwise(no)
+        dropped = F.when(i + 1 < m, steps(F.filter(kids, lambda k: k["c"] == at["b"]), i + 2, at["later"])) \
+            .when((i + 1 == m) & F.col("term"), F.array(move(m, 1, F.lit(True)))).otherwise(no)
+        return F.when(fresh, F.concat(match, replaced, steps(kids, i, at["here"]), dropped)).otherwise(steps(own, i + 1, at["after"]))
+
+    at = F.struct(F.expr("substring(w, i + 1, 1)").alias("a"), F.expr("substring(w, i + 2, 1)").alias("b"),
+                  to_spell("i").alias("here"), to_spell("i + 1").alias("after"), to_spell("i + 2").alias("later"))
+    moves = F.flatten(F.transform(F.array(at), all_steps))
     return state.select("w", "m", "dir", F.explode(moves).alias("_s")).select("w", "m", "dir", "_s.i", "_s.node", "_s.edits", "_s.done")
 
 
