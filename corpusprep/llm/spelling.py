@@ -10,8 +10,9 @@ signatures of the rests of the words below.
 
 States ``(word, position, node, edits)`` are joined with the edges of one depth at
 a time. A state without an edit stays on its word's own path; at each node it may
-replace, insert or drop a letter and goes on as a state with one edit, which
-may only match. A step is taken only if the rest of the word is in the edge's
+drop a letter or replace it by a later one, and goes on as a state with one edit,
+which may only match. Inserted letters and earlier ones are the same
+pairs seen from the other word, so pairs are turned round at the end. A step is taken only if the rest of the word is in the edge's
 signatures: a wrong state may pass, a right one always does. A state that
 reaches the end of both words, or an edge whose single word is what is
 left to spell, is a pair of neighbours.
@@ -118,7 +119,7 @@ def _middle(m: Column) -> Column:
 def edge_table(words: DataFrame) -> DataFrame:
     """``(depth, dir, node, term, kids)``: the nodes with two or more words below, and
     their edges ``(c, rest, term, sig, sig2)``; ``rest`` is what a single word has left."""
-    at = _read(words).withColumn("depth", F.explode(F.sequence(_middle(F.col("m") - 1), F.col("m"))))
+    at = _read(words).withColumn("depth", F.explode(F.sequence(_middle(F.col("m")), F.col("m"))))
     rest = F.expr("substring(w, depth + 2)")
     bit, bit2 = _bits(rest)
     # a row without a letter is the end of a word at the node
@@ -158,19 +159,19 @@ def _steps(state: DataFrame) -> DataFrame:
     def all_steps(at: Column) -> Column:  # ``at`` is worked out once a row, not once an edge
         own = F.filter(kids, lambda k: k["c"] == at["a"])
         match = F.transform(F.filter(own, lambda k: k["rest"].isNull()), lambda k: move(i + 1, 0, F.lit(False), k["c"]))
-        replaced = F.when(i < m, steps(F.filter(kids, lambda k: k["c"] != at["a"]), i + 1, at["after"])).otherwise(no)
+        replaced = F.when(i < m, steps(F.filter(kids, lambda k: k["c"] > at["a"]), i + 1, at["after"])).otherwise(no)
         dropped = F.when(i + 1 < m, steps(F.filter(kids, lambda k: k["c"] == at["b"]), i + 2, at["later"])) \
             .when((i + 1 == m) & F.col("term"), F.array(move(m, 1, F.lit(True)))).otherwise(no)
-        return F.when(fresh, F.concat(match, replaced, steps(kids, i, at["here"]), dropped)).otherwise(steps(own, i + 1, at["after"]))
+        return F.when(fresh, F.concat(match, replaced, dropped)).otherwise(steps(own, i + 1, at["after"]))
 
     at = F.struct(F.expr("substring(w, i + 1, 1)").alias("a"), F.expr("substring(w, i + 2, 1)").alias("b"),
-                  to_spell("i").alias("here"), to_spell("i + 1").alias("after"), to_spell("i + 2").alias("later"))
+                  to_spell("i + 1").alias("after"), to_spell("i + 2").alias("later"))
     moves = F.flatten(F.transform(F.array(at), all_steps))
     return state.select("w", "m", "dir", F.explode(moves).alias("_s")).select("w", "m", "dir", "_s.i", "_s.node", "_s.edits", "_s.done")
 
 
 def _trie_pairs(words: DataFrame) -> DataFrame:
-    """``(word, near)`` for all pairs of ``words`` at one edit, both ways."""
+    """``(word, near)`` for all pairs of ``words`` at one edit, each from one side."""
     spark = words.sparkSession
     path = materialize(edge_table(words), "trie-edges")
     depths = [r[0] for r in path.select("depth").distinct().orderBy("depth").collect()]  # at most LONG
@@ -253,6 +254,7 @@ def near_words(words: DataFrame, long: int = LONG) -> DataFrame:
     inserted, deleted or replaced letter."""
     length = F.length("word")
     pairs = _trie_pairs(words.where(length <= long).select("word"))
+    pairs = pairs.union(pairs.select("near", "word"))
     return pairs.union(_long_pairs(words.where(length >= long).select("word"))).distinct()
 
 
