@@ -12,16 +12,17 @@ DataFrame functions only.
   (its documents in hash order, epoch after epoch) is laid along that demand,
   and inverting the integral gives each copy's training position.
 * What is taken: ``target div source words`` whole epochs, then the stream's
-  next words up to the target, so the last document may be taken in part.
-  No document is taken more than ``max_repeats`` times.
+  next words up to the target: the report takes the last document in part, so that
+  takes meet targets to the word; the stream of documents takes it whole or not
+  at all. No document is taken more than ``max_repeats`` times.
 
 Running sums within a source go over buckets of a hash (``chained_sum``), so a
 source with a third of all rows is spread over as many tasks as any other.
 
 Edge cases: a null or white-space text has size 0 and takes nothing; a null
 source is a source of its own; a source of size 0 has target 0; repeated rows
-each count (ties in hash order are full copies of id, and take any order);
-a null id is ordered like the text "null"; an empty table gives no rows. Input
+each count (rows are ordered by a hash of id and text, so ties are equal in both);
+a null id is ordered like the text "null", a null text like the empty one; an empty table gives no rows. Input
 columns of any name pass through ``mix_documents`` as they are; ``mix_report``
 reads id, text and source only.
 """
@@ -94,16 +95,18 @@ def position(rank: Column, share: Column, schedules=SCHEDULES) -> Column:
     return out
 
 
-def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weights=WEIGHTS, max_repeats: int = MAX_REPEATS, schedules=SCHEDULES) -> DataFrame:
-    """``docs`` plus ``size, source_size, target, taken`` and ``_rank, _before,
-    _epochs, _extra``: whole epochs taken, and words of one more."""
-    base = docs.withColumn("_source", F.col(source_col)).withColumn("size", word_count(F.col(text_col)))
+def _order_key(id_col: str, text_col: str) -> Column:
+    """The order of a source's rows: a hash of id and text, so that rows tie only where both are equal."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+
+def _plan(sized: DataFrame, source_col: str, weights, max_repeats: int) -> DataFrame:
+    """``sized`` (with ``size`` and ``_key``) plus the columns of :func:`mix_plan`."""
+    base = sized.withColumn("_source", F.col(source_col))
     sizes = base.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_repeats)
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
     bucket = F.conv(F.substring("_key", 1, BUCKET_DIGITS), 16, 10).cast("int")
-    flow = chained_sum(base.withColumn("_key", key), ["_source"], bucket, [F.col("_key")], "size", "_before")
+    flow = chained_sum(base, ["_source"], bucket, [F.col("_key")], "size", "_before")
     t = targets.select(F.col("source").alias("_t"), "source_size", "target", F.col("rank").alias("_rank"))
     # one row per source: AQE broadcasts it when its measured size is small
     joined = flow.join(t, F.col("_source").eqNullSafe(F.col("_t"))).drop("_t", "_source", "_key")
@@ -114,37 +117,40 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         .withColumn("taken", F.col("_epochs") * F.col("size") + F.col("_extra"))
 
 
+def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """``docs`` plus ``size, source_size, target, taken`` and ``_rank, _before,
+    _epochs, _extra``: whole epochs taken, and words of one more."""
+    sized = docs.withColumn("size", word_count(F.col(text_col))).withColumn("_key", _order_key(id_col, text_col))
+    return _plan(sized, source_col, weights, max_repeats)
+
+
 def _share(epoch: Column) -> Column:
     return (epoch * F.col("source_size") + F.col("_before")) / F.col("target")
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document, range-sorted by the training position of its first
-    copy (null, and first, where nothing of it is taken)."""
-    plan = mix_plan(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")))
+    copy (null, and first, where nothing of it is taken). Texts are read once."""
+    sized = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                                    word_count(F.col(text_col)).alias("size"), _order_key(id_col, text_col).alias("_key")), "mix-sizes")
+    plan = _plan(sized, "source", WEIGHTS, MAX_REPEATS)
     first = F.when(F.col("taken") > 0, position(F.col("_rank"), _share(F.lit(0))))
     out = plan.select("doc_id", "size", "source_size", "target", "taken", F.round(first, 9).alias("position"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return out.repartitionByRange(n, "position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
-def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                  length_col: str | None = None) -> DataFrame:
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The training stream: a row of ``docs`` for each copy taken, range-sorted
-    by training position. A document taken in part keeps its first words (and
-    ``length_col``, if given, becomes the code points of the cut text)."""
-    src, (id_col, text_col, source_col, length_col), restore = sealed(docs, id_col, text_col, source_col, length_col)
+    by training position. Documents are never cut: of the one at which a source
+    reaches its target, the last copy is taken whole where that is at least as near the target, else not."""
+    src, (id_col, text_col, source_col), restore = sealed(docs, id_col, text_col, source_col)
     plan = mix_plan(src, id_col, text_col, source_col)
-    copies = F.col("_epochs") + F.when(F.col("_extra") > 0, 1).otherwise(0)
+    copies = F.col("_epochs") + F.when(2 * F.col("_extra") >= F.col("size"), 1).otherwise(0)
     rows = plan.where((F.col("size") > 0) & (copies > 0)) \
         .withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
-    part = (F.col("_epoch") == F.col("_epochs")) & (F.col("_extra") < F.col("size"))
-    words = F.regexp_extract_all(F.col(text_col), F.lit("[ \\t-\\r]*+[^ \\t-\\r]++"), F.lit(0))
-    rows = rows.withColumn("_position", position(F.col("_rank"), _share(F.col("_epoch")))) \
-        .withColumn(text_col, F.when(part, F.array_join(F.slice(words, F.lit(1), F.col("_extra").cast("int")), ""))
-                    .otherwise(F.col(text_col)))
-    if length_col:
-        rows = rows.withColumn(length_col, F.when(part, F.length(text_col).cast("long")).otherwise(F.col(length_col)))
+    rows = rows.withColumn("_position", position(F.col("_rank"), _share(F.col("_epoch"))))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return restore(rows.repartitionByRange(n, "_position", id_col).sortWithinPartitions("_position", id_col))
 
@@ -153,7 +159,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+         md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS k FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (

@@ -10,10 +10,11 @@
    configuration holding it. Lengths served ahead of their demand get
    cheaper, the others dearer.
 3. Rounding: configurations are used in whole copies, heaviest first, as far as
-   the histogram has their lengths; what is left is solved again; for the last
-   few thousand pieces the shortest of several plans is taken (the program
+   the histogram has their lengths; what is left is solved again, as long as sequences
+   fill well; for the rest the shortest of several plans is taken (the program
    once more, best fit by descending length, or one sequence after the other
-   around its largest piece).
+   around its largest piece). Counts are scaled down first, so that the steps
+   do not depend on them (:func:`solve`).
 4. Pieces of one length are interchangeable: a running count numbers them, and
    number ``r`` of length ``l`` takes the ``r``-th slot of that length in the
    list of configurations. No task ever holds a bin's or a length's pieces
@@ -36,16 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import chained_sum, materialize
+from corpusprep.llm.common import chained_sum, materialize, shuffle_partitions
 
 CAPACITY = 2048
 END_ID = 0
-#: Rounds of multiplicative weights per solve, their step, and solves before the tail.
+#: Rounds of multiplicative weights per solve, their step, and most solves of one scale.
 ROUNDS = 24
 STEP = 0.5
 SOLVES = 12
-#: Pieces that may be left to the one-sequence-at-a-time tail.
-TAIL = 4096
+#: Pieces that the program is solved for at once; larger histograms are scaled down to it.
+SCALE = 1 << 16
 BUCKETS = 512
 
 
@@ -175,7 +176,8 @@ def _configurations(demand: np.ndarray, capacity: int, rounds: int = ROUNDS, ste
                 served[v] += x
         with np.errstate(divide="ignore", invalid="ignore"):
             ahead = np.where(demand > 0, served / (demand * t / rounds) - 1, 0.0)
-        price *= np.exp(-step * np.clip(ahead, -1, 2) / np.sqrt(t))
+        less = step * np.clip(ahead, -1, 2) / np.sqrt(t)
+        price *= (1 - less / 2) / (1 + less / 2)  # close to exp(-less), and exactly rounded everywhere
         price[lengths] /= (price[lengths] + best[capacity - lengths]).max()
     return use
 
@@ -260,11 +262,8 @@ def _rounded(left: np.ndarray, capacity: int, slack: int) -> list[tuple[tuple, i
 
 
 def _tail(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
-    """The last few pieces: the shortest of several plans."""
-    plans = [_fill_all(left, capacity)]  # at most one step a length, whatever the counts
-    if left.sum() > 4 * TAIL:
-        return plans[0]
-    plans.append(_best_fit(left, capacity))
+    """What whole copies left over: the shortest of several plans."""
+    plans = [_fill_all(left, capacity), _best_fit(left, capacity)]
     for slack in (0, capacity // 100, capacity // 10):
         rest = left.copy()
         start = _rounded(rest, capacity, slack)
@@ -272,8 +271,28 @@ def _tail(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
     return min(plans, key=lambda p: sum(copies for _, copies in p))
 
 
+def _solve_scaled(left: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """Takes off ``left``, a histogram of at most ``SCALE`` pieces, what the program
+    fills well in whole copies, as long as it finds such."""
+    plan: list[tuple[tuple, int]] = []
+    for _ in range(SOLVES):
+        placed = _rounded(left, capacity, capacity // 400) if left.any() else []
+        plan += placed
+        if sum(copies * len(config) for config, copies in placed) * 10 < left.sum():
+            break
+    return plan
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """``(configuration, copies)`` that hold exactly ``histogram``'s pieces."""
+    """``(configuration, copies)`` that hold exactly ``histogram``'s pieces.
+
+    Counts of any size are scaled down: a plan for ``left // scale`` is used
+    ``scale`` times; what it does not fill well, and what the division leaves,
+    is planned again with the smaller scale that it needs, down to 1. Only there,
+    or where most pieces of a scale fill no sequence well, is the rest packed as it comes. All
+    sizes take the same steps, and every step is made of exactly rounded
+    operations (no exponentials), so a histogram has one plan on every machine.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         left[int(length)] = n
@@ -281,14 +300,19 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
     if left[capacity]:
         plan.append(((capacity,), int(left[capacity])))
         left[capacity] = 0
-    for _ in range(SOLVES):
-        before = int(left.sum())
-        if before <= TAIL:
-            break
-        plan += _rounded(left, capacity, capacity // 100 if before > 4 * TAIL else capacity)
-        if left.sum() > 0.9 * before:
-            break
-    return plan + (_tail(left, capacity) if left.any() else [])
+    while left.any():
+        scale = -(-int(left.sum()) // SCALE)
+        part = left // scale
+        left -= part * scale
+        whole = part.copy()
+        own = _solve_scaled(part, capacity)
+        if scale == 1 or 2 * part.sum() > whole.sum():
+            own += _tail(part, capacity) if part.any() else []
+            own = min(own, _tail(whole, capacity), key=lambda p: sum(copies for _, copies in p))
+        else:
+            left += part * scale
+        plan += [(config, copies * scale) for config, copies in own]
+    return plan
 
 
 def _slots(plan, capacity: int):
@@ -332,7 +356,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= capacity rows
     slots = _slots(solve(histogram, capacity), capacity)
     key = [F.xxhash64("doc_id", "piece", "start", "ids_crc32")]
-    bucket = F.pmod(key[0], F.lit(BUCKETS)).cast("int")
+    buckets = max(BUCKETS, 8 * shuffle_partitions(docs.sparkSession))  # full pieces may be most of all: no length is few tasks
+    bucket = F.pmod(key[0], F.lit(buckets)).cast("int")
     ranked = chained_sum(pieces.withColumn("_one", F.lit(1).cast("long")), ["length"], bucket, key, "_one", "_rank").drop("_one")
     names = [f for f in ranked.schema.fields if f.name != "_rank"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", sequence_id long, offset long"

@@ -1,9 +1,10 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from corpusprep.llm import mix
 
@@ -74,20 +75,37 @@ def test_positions_invert_the_schedules():
         assert area > 0 and knots[0][0] == 0 and knots[-1][0] == 1
 
 
-def test_stream_follows_the_report(tricky):
+def test_stream_follows_the_report(tricky, tricky_rows):
+    """Whole texts only; as often as the report's words say, to the nearest copy."""
     report = mix.mix_report(tricky).collect()
-    stream = mix.mix_documents(tricky, length_col="n_chars")
-    rows = stream.collect()
+    stream = mix.mix_documents(tricky)
     assert stream.columns == tricky.columns
-    words = defaultdict(int)
-    for r in rows:
-        n = len(WORD.findall(r.text))
-        assert n > 0
-        words[r.doc_id] += n
-    want = defaultdict(int)
+    rows = Counter((r.doc_id, r.text, r.source, r.lang, r.n_chars) for r in stream.collect())
+    known = {(r[0], r[1], r[3], r[2], r[4]) for r in tricky_rows}
+    assert rows.keys() <= known  # no text is cut
+    copies = Counter()
+    for (doc_id, *_), n in rows.items():
+        copies[doc_id] += n
+    want = Counter()
     for r in report:
-        want[r.doc_id] += r.taken
-    assert {k: v for k, v in want.items() if v} == dict(words)
+        if r.size and r.doc_id is not None:
+            want[r.doc_id] += (2 * r.taken + r.size) // (2 * r.size)
+    assert {k: v for k, v in copies.items() if k is not None} == {k: v for k, v in want.items() if v}
+    assert max(rows.values()) <= 2 * mix.MAX_REPEATS  # a row may stand in the table twice
+
+
+def test_reruns_agree_on_null_and_repeated_ids(shipped):
+    """Rows that share an id, or have none, differ in text and size: whatever the
+    partitioning, the same rows are taken."""
+    rows = [(7 if i % 3 else None, " ".join(f"w{i}x{j}" for j in range(1 + i * 7 % 11)), f"s{i % 4}") for i in range(900)]
+    df = shipped.createDataFrame(rows, "doc_id long, text string, source string")
+    reports, streams = [], []
+    for n in (1, 5, 13):
+        part = df.repartition(n, F.rand(n))
+        reports.append(Counter(map(tuple, mix.mix_report(part).collect())))
+        streams.append(Counter(map(tuple, mix.mix_documents(part).collect())))
+    assert reports[0] == reports[1] == reports[2]
+    assert streams[0] == streams[1] == streams[2]
 
 
 def test_stream_is_in_order_of_position(shipped):

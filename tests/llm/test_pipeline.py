@@ -13,7 +13,6 @@ from corpusprep.llm import langid, mix, secrets
 from tests_llm_brute import brute_components, brute_fingerprint
 
 WORD = re.compile("[^ \t-\r]+")
-TAKE = re.compile("[ \t-\r]*[^ \t-\r]+")
 
 
 def redact(text):
@@ -47,7 +46,7 @@ def mixed(rows):
             open_.remove(s)
     targets.update({s: level * weights[s] for s in open_})
     before, out = defaultdict(int), []
-    for i, t, s in sorted(rows, key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest()):
+    for i, t, s in sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}:{r[1]}".encode()).hexdigest()):
         n = len(WORD.findall(t))
         if not n:
             continue
@@ -56,8 +55,8 @@ def mixed(rows):
         extra = max(0, min(n, goal - whole * sizes[s] - before[s]))
         before[s] += n
         out += [(i, t)] * whole
-        if extra:
-            out.append((i, t if extra == n else "".join(TAKE.findall(t)[:extra])))
+        if 2 * extra >= n:  # whole documents only
+            out.append((i, t))
     return out
 
 
