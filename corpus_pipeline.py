@@ -41,9 +41,9 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, left out or cut so that sources meet their targets,
-    in training order."""
-    return mix.mix_documents(docs, length_col="n_chars")
+    """Documents repeated or left out, never cut, so that sources come near
+    their targets, in training order."""
+    return mix.mix_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
