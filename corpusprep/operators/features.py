@@ -118,6 +118,48 @@ def integer_scorer(n_in: int = 64, n_out: int = 4):
     return make_predict_fn
 
 
+def task_device(resource: str = "gpu", default: str = "cpu") -> str:
+    """The device that Spark gave to the task that calls this: the first address of ``resource``
+    in the task's resource profile; ``default`` where there is none."""
+    from pyspark import TaskContext
+    context = TaskContext.get()
+    given = context.resources().get(resource) if context is not None else None
+    return given.addresses[0] if given is not None and given.addresses else default
+
+
+def device_profile(resource: str = "gpu", per_executor: int = 1, per_task: float = 1.0, cores: int | None = None):
+    """A resource profile for :func:`score_on_devices`: ``per_executor`` devices an executor, ``per_task`` a task."""
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+    executor = ExecutorResourceRequests().resource(resource, per_executor)
+    if cores:
+        executor = executor.cores(cores)
+    return ResourceProfileBuilder().require(executor).require(TaskResourceRequests().resource(resource, per_task)).build
+
+
+def score_on_devices(df: DataFrame, make_predict_fn, n_in: int, input_col: str = "embedding", out_col: str = "feature",
+                     batch_size: int = BATCH_SIZE, profile=None, resource: str = "gpu") -> DataFrame:
+    """F3 with W1's placement left to Spark: ``make_predict_fn(device)`` builds the model
+    once a task, on the device that the stage's resource ``profile`` gave it.
+
+    Stage-level scheduling needs a cluster; without a profile (local mode) the stage runs as
+    any other and the device is ``cpu``. Rows with a null input must be dropped first (P10).
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.ArrayType(T.FloatType()))])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        predict = make_predict_fn(task_device(resource))
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch_size):
+                b = whole.slice(at, batch_size)
+                x = b.column(input_col).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, n_in)
+                y = np.asarray(predict(x), dtype=np.float32)
+                out = pa.ListArray.from_arrays(pa.array(np.arange(0, y.size + 1, y.shape[1]), pa.int32()), pa.array(y.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, out_col])
+    return df.mapInArrow(run, schema, profile=profile)
+
+
 def score_model(df: DataFrame, make_predict_fn, n_in: int, input_col: str = "embedding",
                 out_col: str = "feature", batch_size: int = BATCH_SIZE) -> DataFrame:
     """batched model forward; the model is built once per Python worker.

@@ -66,10 +66,13 @@ def distinct_triples(samples: DataFrame) -> DataFrame:
 
 def _in_shards_of(listing: DataFrame, triples: DataFrame, key_col: str = "_hk") -> DataFrame:
     """The part of a listing that lies in the shards of ``triples``: a run over
-    one range of shards never shuffles the rest of the store. (The shard names
-    are a small distinct set; AQE broadcasts it once measured.)"""
-    shards = triples.select(K.derive_shard("key").alias("_shard")).distinct()
-    return listing.join(shards, K.derive_shard(key_col) == F.col("_shard"), "left_semi")
+    one range of shards never shuffles the rest of the store. Valid shard names
+    are at most 4,096, so they are broadcast, and the listing (or its payload) is not
+    shuffled for them; keys of any other form are left to the join on the key."""
+    shard = K.derive_shard(key_col)
+    names = triples.select(K.derive_shard("key").alias("_shard")).where(K.is_shard_name("_shard")).distinct()
+    known = listing.join(F.broadcast(names), shard == F.col("_shard"), "left")
+    return known.where(F.col("_shard").isNotNull() | ~F.coalesce(K.is_shard_name(shard), F.lit(False))).drop("_shard")
 
 
 def resolve_triples(triples: DataFrame, store: DataFrame, allowed: DataFrame | None = None) -> DataFrame:

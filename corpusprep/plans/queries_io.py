@@ -22,6 +22,7 @@ from corpusprep.plans import jobs as J
 from corpusprep.plans.catalog import register
 from corpusprep.plans.queries_media import SCORER_IN, SCORER_OUT, scored
 from corpusprep.sinks import writers as W
+from corpusprep.sources import archive_source as ARS
 from corpusprep.sources import archives as AR
 from corpusprep.sources import images as IM
 from corpusprep.sources import tables as TB
@@ -70,6 +71,20 @@ def q_scan_metadata_shards(spark, sf):
     return back.groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"), F.count("accuracy").alias("n_accuracy"))
 
 
+@register("metadata_rejects", ["coerced"], """
+SELECT shard, count(*) AS n_rows, count(*) AS n_rejects, max(length(key)) + 9 AS longest FROM coerced GROUP BY shard""")
+def q_metadata_rejects(spark, sf):
+    """Every sample written twice: as a good line, and as one cut off in the middle."""
+    out = W.scratch_path(spark, "s3-rejects")
+    J.job_convert_metadata(_meta_cols(FX.raw_samples(_pages(spark, sf))), out)
+    good = TB.read_metadata_shards(spark, out, _META_SCHEMA)
+    good.select(F.concat(F.lit('{"key": "'), F.col("key")).alias("value"), "shard").write.mode("append").partitionBy("shard").text(out, compression="gzip")
+    rows = TB.read_metadata_shards(spark, out, _META_SCHEMA, on_error="reject").groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = TB.metadata_rejects(spark, out, _META_SCHEMA).groupBy("shard") \
+        .agg(F.count(F.lit(1)).alias("n_rejects"), F.max(F.length("line")).cast("long").alias("longest"))
+    return rows.join(bad, "shard", "full")
+
+
 @register("job_convert_metadata", ["coerced"], """
 SELECT page_id, key, shard, CAST(NULL AS VARCHAR) AS reason FROM coerced
 UNION ALL SELECT page_id, NULL AS key, NULL AS shard, 'null downloadurl' AS reason FROM pages""")
@@ -276,6 +291,17 @@ def q_archive_index(spark, sf):
     return AR.archive_index(spark, out).select("shard", "ord", "name", "size")
 
 
+@register("archive_source", ["archive"], """
+SELECT shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY ord, name) - 1 AS INTEGER) AS ord, name,
+  data, CAST(strlen(data) AS BIGINT) AS size FROM archive""")
+def q_archive_source(spark, sf):
+    """Members and index of all archives through the data source, in short runs."""
+    out = W.scratch_path(spark, "s7-source")
+    _write_archives(spark, sf, out)
+    members = ARS.read_archives(spark, out, run_bytes=200_000).select("shard", "ord", "name", F.col("data").cast("string").alias("data"))
+    return members.join(ARS.read_archives(spark, out, payload=False).select("shard", "ord", "name", "size"), ["shard", "ord", "name"])
+
+
 @register("archive_members", ["archive"], """
 SELECT shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY ord, name) - 1 AS INTEGER) AS ord, name,
   data FROM archive""")
@@ -375,6 +401,18 @@ def q_incremental_ingest(spark, sf):
         .select("page_id", "key", "shard")
 
 
+@register("ingest_once", ["coerced"], "SELECT page_id, key, shard FROM coerced")
+def q_ingest_once(spark, sf):
+    """Three deliveries over three runs, each holding rows of the one before: every row comes out once."""
+    src, sink, ck = (W.scratch_path(spark, n) for n in ("r2-in", "r2-out", "r2-ck"))
+    raw = _meta_cols(FX.raw_samples(_pages(spark, sf)))
+    for name, rows in (("a", raw.where("page_id % 3 < 2")), ("b", raw.where("page_id % 3 > 0")), ("c", raw)):
+        rows.write.parquet(f"{src}/part={name}")
+        INC.incremental_ingest(spark, src, raw.schema, sink, ck, lambda df: S.create_samples(df).select("page_id", "key", "shard"), once_by=["page_id"])
+    return INC.read_ingested(spark, sink, T.StructType([T.StructField("page_id", T.LongType()), T.StructField("key", T.StringType()),
+                                                        T.StructField("shard", T.StringType())])).select("page_id", "key", "shard")
+
+
 # ---------------------------------------------------------------- jobs
 @register("job_fetch", ["resolved", "samples"], """
 SELECT 'stored' AS kind, shard, object_key FROM resolved WHERE found AND length(data) > 0

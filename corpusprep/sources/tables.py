@@ -53,23 +53,48 @@ def sample_schema(extra: T.StructType | None = None) -> T.StructType:
 
 
 def read_metadata_shards(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                         layout: str = "partitioned") -> DataFrame:
+                         layout: str = "partitioned", on_error: str = "raise") -> DataFrame:
     """S3: metadata shards as gzip JSON lines.
 
     ``partitioned``: ``shard=<name>/`` directories written by K1 (the shard
     column is declared a string, never inferred). ``flat``: one ``<shard>.gz``
     file per shard, the shard taken from the file name. Multi-member gzip
-    files read whole.
+    files read whole. A line that is no JSON object of the schema fails the scan;
+    with ``on_error="reject"`` it is left out, and :func:`metadata_rejects` names it.
     """
     schema = schema or sample_schema()
+    if on_error == "reject":
+        return _parsed_lines(spark, path, schema, layout).where(f"_row.{CORRUPT} is null") \
+            .select(*[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema.fields], "shard")
     if layout == "partitioned":
         full = T.StructType(schema.fields + [T.StructField("shard", T.StringType(), True)])
-        return spark.read.schema(full).json(path)
-    df = spark.read.schema(schema).json(path)
+        return spark.read.schema(full).option("mode", "FAILFAST").json(path)
+    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return df.withColumn("shard", K.file_shard(F.col("_metadata.file_name"))) \
         .where(K.is_shard_name("shard"))
 
 
+#: Name of the parser's column for a line that it cannot read.
+CORRUPT = "_corrupt_line"
+
+
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, layout: str) -> DataFrame:
+    """``(shard, file, line, _row)`` of every line that is not blank."""
+    if layout == "partitioned":
+        lines = spark.read.schema("value string, shard string").text(path).select("shard", F.col("_metadata.file_path").alias("file"), "value")
+    else:
+        lines = spark.read.text(path).select(K.file_shard(F.col("_metadata.file_name")).alias("shard"), F.col("_metadata.file_path").alias("file"), "value") \
+            .where(K.is_shard_name("shard"))
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    row = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.where(F.trim("value") != "").withColumn("_row", row).withColumnRenamed("value", "line")
+
+
+def metadata_rejects(spark: SparkSession, path: str, schema: T.StructType | None = None, layout: str = "partitioned") -> DataFrame:
+    """S3's reject table: ``(shard, file, line)`` of the lines that cannot be read."""
+    return _parsed_lines(spark, path, schema or sample_schema(), layout).where(f"_row.{CORRUPT} is not null").select("shard", "file", "line")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does ``path`` exist on its (Hadoop) file system - a metadata call only."""
     try:

@@ -8,7 +8,8 @@ shards and the keys already in the feature store. Here that state is data:
 * R2 - newly arrived files are picked up by Structured Streaming's file
   source with a checkpoint, drained with ``trigger(availableNow=True)``; each
   micro-batch writes its own ``batch=<id>`` folder with overwrite, so a batch
-  replayed after a failure replaces its own output (exactly-once files).
+  replayed after a failure replaces its own output (exactly-once files). Rows
+  that are delivered again can be dropped by state in the checkpoint.
 * R3 - features are appended only for keys not yet stored (per-key anti-join).
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.operators import features as FE
@@ -25,6 +27,10 @@ from corpusprep.sinks import writers as W
 from corpusprep.sources import tables as TB
 
 
+#: Name of the time that the state of ``once_by`` expires by.
+SEEN_AT = "_seen_at"
+
+
 def pending_shards(present: DataFrame, ledger: DataFrame) -> DataFrame:
     """Shards still to do = present − finished."""
     return present.select("shard").distinct().join(SH.scan_ledger(ledger), "shard", "left_anti")
@@ -32,9 +38,15 @@ def pending_shards(present: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, sink: str,
                        checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                       fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
+                       fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                       once_by: list[str] | None = None, event_time: str | None = None, delay: str = "7 days") -> int:
     """R2: process files that arrived in ``source`` since the last run, once.
 
+    With ``once_by``, a row delivered again in a later file is ingested once: the
+    columns named identify it, and the rows seen are state in the checkpoint, kept over runs
+    until the watermark passes them by ``delay``. Time is ``event_time``, a timestamp column, or else
+    the arrival of the row's file.
+
     Returns the number of micro-batches (the file source makes none without new files). The output folder
     holds one ``batch=<id>`` partition per micro-batch. Files must arrive as
     new files (or ``k=v`` sub-folders) under ``source``.
@@ -43,6 +55,9 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, s
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
+    if once_by:
+        at = F.col(event_time) if event_time else F.col("_metadata.file_modification_time")
+        stream = stream.withColumn(SEEN_AT, at).withWatermark(SEEN_AT, delay).dropDuplicatesWithinWatermark(once_by).drop(SEEN_AT)
     target = sink.rstrip("/")
 
     ran = []  # every batch of this run; the progress buffer keeps only the last hundred
