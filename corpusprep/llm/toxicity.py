@@ -7,12 +7,22 @@ to ``HASH_BITS`` bits. The factor products let two terms weigh together what
 neither weighs alone (an insult and the mention of a group).
 
 Training uses a bounded sample of labelled rows: about ``SAMPLE_ROWS`` of them,
-chosen by a hash of their id (all, where there are fewer). Grouped aggregates
-count each term's toxic and other documents; the ``TERMS`` terms with the largest
-z-statistic of their log-odds become the machine's inputs. Only the sample's
-rows over those terms reach the driver, where full-batch Adam fits the
-machine from a fixed seed. Scoring is one narrow pass over whole texts with the
-model (a few hundred kB whatever the corpus) as a broadcast.
+chosen by a hash of their id (all, where there are fewer). Every hashed term of
+the sample is an input with a weight and a factor; none is screened out. With
+far more terms than rows, penalties keep noise out, and each is set by what
+labels dealt out at random would reach: weights pay an absolute penalty of
+``EASE`` times the largest gradient under shuffled errors (and a tenth of that
+once a term is in), factors a square penalty as large as the strongest
+interaction that shuffled errors show. Inputs are scaled by
+``sqrt(share of rows without the term / (rows with it + PRIOR_ROWS))``: a rare term
+has to earn its weight, and a term of every row says nothing. Factors start along the strongest interactions of the errors that the
+weights leave, so two words that say nothing alone are found by their pair.
+
+The sample's rows reach the driver as arrays of term numbers (bounded by
+``SAMPLE_ROWS``), where the fit runs from a fixed seed. Scoring is one narrow
+pass over whole texts with the model as a broadcast: terms whose weight and
+factor came out as zero are left out of it, and there are at most
+``2 ** HASH_BITS`` others.
 
 Edge cases: null and empty texts have no terms and score ``sigmoid(w0)``; null
 ids are kept and never train; ids labelled more than once train once, as toxic
@@ -33,12 +43,10 @@ from pyspark.sql import functions as F
 
 HASH_BITS = 20
 SAMPLE_ROWS = 20_000
-TERMS = 2048
-MIN_DOCS = 4
 FACTORS = 6
-STEPS = 150
-RATE = 0.08
-L2 = (2e-4, 2e-3)
+STEPS = 80
+PRIOR_ROWS = 100
+EASE = 0.5
 SEED = 7
 HOLDOUT = 5
 
@@ -83,7 +91,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 class Machine:
-    """The fitted machine over its selected terms."""
+    """The fitted machine; a term that is not in ``selected`` weighs nothing."""
 
     def __init__(self, selected: np.ndarray, w0: float, w: np.ndarray, v: np.ndarray):
         self.selected, self.w0, self.w, self.v = selected, w0, w, v
@@ -99,35 +107,107 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+class _Design:
+    """Rows of term numbers as a scaled 0/1 matrix: products with it and with its transpose."""
+
+    def __init__(self, rows: list[np.ndarray], n_terms: int):
+        self.n, self.n_terms = len(rows), n_terms
+        self.at = np.concatenate(rows)
+        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        with_term = np.bincount(self.at, minlength=n_terms)
+        # a term of every row is the intercept once more
+        self.scale = np.sqrt((1 - with_term / self.n) / (with_term + PRIOR_ROWS))
+        self.x = self.scale[self.at]
+        self.squares = self.x * self.x
+
+    def rows_of(self, v: np.ndarray) -> np.ndarray:
+        if v.ndim > 1:
+            return np.stack([self.rows_of(c) for c in v.T], axis=1)
+        return np.bincount(self.row, v[self.at] * self.x, self.n)
+
+    def terms_of(self, e: np.ndarray) -> np.ndarray:
+        if e.ndim > 1:
+            return np.stack([self.terms_of(c) for c in e.T], axis=1)
+        return np.bincount(self.at, e[self.row] * self.x, self.n_terms)
+
+    def own(self, e: np.ndarray) -> np.ndarray:
+        """What a term's product with itself adds: no interaction."""
+        return np.bincount(self.at, e[self.row] * self.squares, self.n_terms)[:, None]
+
+    def pairs(self, v: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        return 0.5 * ((sums * sums).sum(axis=1) - np.bincount(self.row, (v * v).sum(axis=1)[self.at] * self.squares, self.n))
+
+
+def _interactions(d: _Design, err: np.ndarray, k: int, rng) -> tuple[np.ndarray, float]:
+    """The ``k`` strongest directions in which pairs of terms explain the errors, and the strength of the first."""
+    own = d.own(err)
+    v = np.linalg.qr(rng.normal(size=(d.n_terms, k)))[0]
+    strength = 0.0
+    for _ in range(8):
+        w = own * v - d.terms_of(err[:, None] * d.rows_of(v))
+        strength = float(np.linalg.eigvalsh((v.T @ w + w.T @ v) / 2)[-1])
+        v = np.linalg.qr(w)[0]
+    return v, strength
+
+
+def _shrunk(u: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(u) * np.maximum(np.abs(u) - by, 0)
+
+
 def _fit(rows: list[np.ndarray], y: np.ndarray, n_terms: int) -> tuple[float, np.ndarray, np.ndarray]:
-    """Full-batch Adam on the logistic loss; rows hold the places of their terms."""
+    """Accelerated proximal steps for the weights, then plain ones for weights
+    and factors; rows hold the numbers of their terms."""
     rng = np.random.default_rng(SEED)
+    k = min(FACTORS, n_terms)
+    if not n_terms:
+        return float(np.log(y.mean() / (1 - y.mean()))), np.zeros(0), np.zeros((0, FACTORS))
+    d = _Design(rows, n_terms)
     each = np.where(y > 0, np.sqrt((1 - y.mean()) / y.mean()), 1.0)  # the rarer kind counts more
-    each /= each.sum()
-    at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    base = float(np.log((y.mean() + 1e-9) / (1 - y.mean() + 1e-9)))
-    flat = np.concatenate([[base], np.zeros(n_terms), rng.normal(0, 0.02, n_terms * FACTORS)])
-    m, s = np.zeros_like(flat), np.zeros_like(flat)
-    n = len(rows)
-
-    def add(values, where, size):
-        return np.bincount(where, weights=values, minlength=size)
-
-    for step in range(1, STEPS + 1):
-        w, v = flat[1:1 + n_terms], flat[1 + n_terms:].reshape(n_terms, FACTORS)
-        va = v[at]
-        sums = np.stack([add(va[:, k], row, n) for k in range(FACTORS)], axis=1)
-        own = add((va * va).sum(axis=1), row, n)
-        z = flat[0] + add(w[at], row, n) + 0.5 * ((sums * sums).sum(axis=1) - own)
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * each
-        e = err[row]
-        gv = np.stack([add(e * (sums[row, k] - va[:, k]), at, n_terms) for k in range(FACTORS)], axis=1)
-        grad = np.concatenate([[err.sum()], add(e, at, n_terms) + L2[0] * w / 10, (gv + L2[1] * v / 10).ravel()])
-        m = 0.9 * m + 0.1 * grad
-        s = 0.99 * s + 0.01 * grad * grad
-        flat = flat - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
-    return float(flat[0]), flat[1:1 + n_terms], flat[1 + n_terms:].reshape(n_terms, FACTORS)
+    each /= each.mean()
+
+    def errors(z):
+        return (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * each
+
+    share = (each * y).sum() / each.sum()
+    w0 = float(np.log(share / (1 - share)))
+    chance = max(float(np.abs(d.terms_of(rng.permutation((share - y) * each))).max()) for _ in range(3))
+    steep = rng.normal(size=n_terms)
+    for _ in range(8):
+        steep = d.terms_of(each * d.rows_of(steep / np.linalg.norm(steep)))
+    rate, rate0 = 2 / max(float(np.linalg.norm(steep)), 1e-9), 2 / each.sum()
+
+    u, penalty = np.zeros(n_terms), np.full(n_terms, EASE * chance)
+    for _ in range(2):
+        before, t = u, 1.0
+        for _ in range(STEPS):
+            t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+            ahead = u + (last - 1) / t * (u - before)
+            e = errors(w0 + d.rows_of(ahead))
+            w0 -= rate0 * float(e.sum())
+            before, u = u, _shrunk(ahead - rate * d.terms_of(e), rate * penalty)
+        penalty = np.where(u != 0, 0.1, 1.0) * EASE * chance
+
+    v = np.zeros((n_terms, k))
+    left = errors(w0 + d.rows_of(u))
+    start, strength = _interactions(d, left, k, rng)
+    null = max(_interactions(d, rng.permutation(left), 2 if k > 1 else 1, rng)[1] for _ in range(2))
+    if strength > null > 0:
+        v, pace = 0.3 * start, 0.5 / (strength + null)
+        kept, least = (w0, u, v), np.inf
+        for _ in range(2 * STEPS):
+            sums = d.rows_of(v)
+            z = w0 + d.rows_of(u) + d.pairs(v, sums)
+            cost = float((each * np.logaddexp(0, np.where(y > 0, -z, z))).sum() + (penalty * np.abs(u)).sum() + null / 2 * (v * v).sum())
+            if cost > least:  # too far: back, and on by half
+                w0, u, v = kept
+                pace, rate, rate0, least = pace / 2, rate / 2, rate0 / 2, np.inf
+                continue
+            kept, least, e = (w0, u, v), cost, errors(z)
+            w0 = w0 - rate0 * float(e.sum())
+            u = _shrunk(u - rate * d.terms_of(e), rate * penalty)
+            v = v - pace * (d.terms_of(e[:, None] * sums) - d.own(e) * v + null * v)
+        w0, u, v = kept
+    return w0, u * d.scale, np.pad(v * d.scale[:, None], ((0, 0), (0, FACTORS - k)))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -140,23 +220,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if not toxic or toxic == n:
             share = toxic / n if n else 0.0
             return Machine(none.astype(np.int64), 30.0 if share else -30.0, none, np.zeros((0, FACTORS)))
-        counts = sample.select("label", F.explode("terms").alias("term")).groupBy("term") \
-            .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")).where(F.col("pos") + F.col("neg") >= MIN_DOCS)
-        pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
-        odds = F.log(pos / (toxic + 1 - pos)) - F.log(neg / (n - toxic + 1 - neg))
-        spread = F.sqrt(1 / pos + 1 / (toxic + 1 - pos) + 1 / neg + 1 / (n - toxic + 1 - neg))
-        picked = counts.select("term", F.abs(odds / spread).alias("z")).orderBy(F.desc("z"), "term").limit(TERMS)
-        selected = np.sort(np.array([r["term"] for r in picked.select("term").collect()], np.int64))
-        inputs = F.array(*map(F.lit, selected.tolist())).cast("array<int>")
-        rows = sample.select("label", F.array_intersect("terms", inputs).alias("terms")).toPandas()
+        # at most sample_rows arrays of distinct terms
+        rows = sample.select("label", "terms").toArrow()
     finally:
         sample.unpersist()
+    found = [t.values.to_numpy() for t in rows["terms"]]
+    y = rows["label"].to_numpy().astype(float)
+    every = np.unique(np.concatenate(found)).astype(np.int64)
+    places = [np.searchsorted(every, t) for t in found]
     # a fixed order, whatever task came first
-    places = [np.searchsorted(selected, np.sort(np.array(t, np.int64))) for t in rows["terms"]]
-    order = sorted(range(len(places)), key=lambda i: (int(rows["label"][i]), places[i].tobytes()))
-    y = rows["label"].to_numpy(float)[order]
-    w0, w, v = _fit([places[i] for i in order], y, len(selected))
-    return Machine(selected, w0, w, v)
+    order = sorted(range(len(places)), key=lambda i: (y[i], places[i].tobytes()))
+    w0, w, v = _fit([places[i] for i in order], y[order], len(every))
+    some = (w != 0) | (v != 0).any(axis=1)
+    return Machine(every[some], w0, w[some], v[some])
 
 
 def score_documents(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,6 +40,36 @@ def test_learns_pairwise_interactions(shipped):
     assert z("vile") < 0.5 and z("clan") < 0.5 and z("vile", "clan") > 0.5
 
 
+def test_pairs_whose_parts_say_nothing_among_20000_words(shipped):
+    """Each word of a pair is as common in toxic texts as in others: only the pair tells."""
+    rng = random.Random(5)
+    plain = ["q" + "".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(20_000)]
+    rows, labels = [], []
+    for i in range(3000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        w = [rng.choice(plain) for _ in range(12)]
+        w += [rng.choice(["vile", "rotten"] if insult else ["good", "kind"]), rng.choice(["folk", "clan"] if group else ["team", "crew"])]
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(insult == group)))
+    assert len({w for _, t in rows for w in t.split()}) > 15_000
+    docs = shipped.createDataFrame(rows, "doc_id long, text string")
+    known = shipped.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity.toxicity_report(docs, known).toPandas().merge(known.toPandas(), on="doc_id")
+    held = got[got.held_out]
+    assert (held.predicted == held.toxic).mean() > 0.95
+
+
+def test_labels_dealt_at_random_leave_few_weights():
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 5000, 40)) for _ in range(1500)]
+    y = (rng.random(1500) < 0.3).astype(float)
+    _, w, v = toxicity._fit(rows, y, 5000)
+    m = toxicity.Machine(np.arange(5000), 0.0, w, v)
+    z = [m.score(np.unique(rng.integers(0, 5000, 40))) for _ in range(300)]
+    assert (w != 0).mean() < 0.05 and np.abs(np.array(z) - 0.5).mean() < 0.05
+
+
 def test_held_out_quality_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
