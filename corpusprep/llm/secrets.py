@@ -167,6 +167,30 @@ def _java(regex: str) -> str:
     return regex.replace(r"\x20", "[ ]")
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(values: Column) -> Column:
+    """A non-empty array in about as many runs as a run has entries."""
+    width = F.ceil(F.sqrt(F.size(values))).cast("int")
+    return F.transform(F.sequence(F.lit(1), F.size(values), width), lambda i: F.slice(values, i, width))
+
+
+def _running(values: Column, add) -> Column:
+    """Running totals by ``add`` (from 0) of a non-empty array of integers, in
+    two levels: an append copies at most the root of the array's length."""
+    def fold(part: Column, of) -> Column:
+        return F.aggregate(part, F.array(F.lit(0)), lambda a, x: F.array_append(a, add(F.element_at(a, -1), of(x))))
+
+    def join(runs: Column) -> Column:
+        before = F.slice(fold(runs, lambda r: F.element_at(r, -1)), F.lit(1), F.size(runs))
+        return F.flatten(F.zip_with(runs, before, lambda r, o: F.transform(F.slice(r, F.lit(2), F.size(r) - 1), lambda x: add(o, x))))
+
+    return _bound(values, lambda v: _bound(F.transform(_parts(v), lambda p: fold(p, lambda x: x)), join))
+
+
 def _placed(text: str, found: str, rule: Rule, rank: int) -> Column:
     """Spans of the kept matches in column ``found``: lengths summed from the left."""
     pattern = _java(rule.regex)
@@ -174,15 +198,15 @@ def _placed(text: str, found: str, rule: Rule, rank: int) -> Column:
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), F.col(found),
                        lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("len"),
                                              (F.length(F.regexp_extract(m, pattern, rule.group)) >= rule.least).alias("keep")))
+
+    def spans(s: Column) -> Column:
+        ends = _running(F.transform(s, lambda x: x["gap"] + x["len"]), lambda a, x: a + x)
+        placed = F.zip_with(s, ends, lambda x, e: F.struct(x["keep"].alias("keep"), F.struct(
+            (e - x["len"]).alias("start"), F.lit(rank).alias("rank"), e.alias("end")).alias("span")))
+        return F.transform(F.filter(placed, lambda x: x["keep"]), lambda x: x["span"])
+
     empty = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    total = F.aggregate(
-        steps, F.struct(F.lit(0).alias("pos"), empty.alias("spans")),
-        lambda a, s: F.struct(
-            (a["pos"] + s["gap"] + s["len"]).alias("pos"),
-            F.when(s["keep"], F.array_append(a["spans"], F.struct(
-                (a["pos"] + s["gap"]).alias("start"), F.lit(rank).alias("rank"),
-                (a["pos"] + s["gap"] + s["len"]).alias("end")))).otherwise(a["spans"]).alias("spans")))
-    return F.when(F.size(found) > 0, total["spans"]).otherwise(empty)
+    return F.when(F.size(found) > 0, _bound(steps, spans)).otherwise(empty)
 
 
 def with_secret_spans(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
@@ -234,13 +258,23 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src, (id_col, text_col, changed), restore = sealed(docs, id_col, text_col, changed_col)
     s = with_secret_spans(src, id_col=id_col, text_col=text_col, out="_secret_spans")
     text = F.col(text_col)
-    cut = F.aggregate(
-        "_secret_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["pos"], x["end"]).alias("pos"),
-            F.when(x["start"] >= a["pos"], F.concat(a["out"], F.substring(text, a["pos"] + 1, x["start"] - a["pos"]), F.lit(REDACTED)))
-            .otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["pos"] + 1, F.lit(2 ** 31 - 1))))
+
+    def run_of(run: Column) -> Column:
+        """A run of spans: the text from its first ``pos`` on is cut out once, the pieces from that."""
+        first, last = F.element_at(run, 1), F.element_at(run, -1)
+        here = F.substring(text, first["pos"] + 1, F.greatest(last["pos"], last["start"]) - first["pos"])
+        return _bound(here, lambda t: F.array_join(F.transform(run, lambda x: F.when(
+            x["start"] >= x["pos"], F.concat(F.substring(t, x["pos"] - first["pos"] + 1, x["start"] - x["pos"]), F.lit(REDACTED)))
+            .otherwise(F.lit(""))), ""))
+
+    def redacted(ends: Column) -> Column:
+        # pos: where the spans before this one end
+        before = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+        placed = F.zip_with("_secret_spans", before, lambda x, p: F.struct(x["start"].alias("start"), p.alias("pos")))
+        runs = _bound(placed, lambda p: F.transform(_parts(p), run_of))
+        return F.concat(F.array_join(runs, ""), F.substring(text, F.element_at(ends, -1) + 1, F.lit(2 ** 31 - 1)))
+
+    cut = _bound(_running(F.transform("_secret_spans", lambda x: x["end"]), F.greatest), redacted)
     hit = F.size("_secret_spans") > 0
     out = s.withColumn(text_col, F.when(hit, cut).otherwise(text))
     return restore(out.withColumn(changed, hit) if changed else out)

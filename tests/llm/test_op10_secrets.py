@@ -96,3 +96,16 @@ def test_redaction(shipped, empty):
     assert got == {1: "a [SECRET] b", 2: None, 3: "clean", 4: "[SECRET]\U0001f600 [SECRET]"}
     assert secrets.redact_secrets(df).columns == df.columns
     assert secrets.secret_report(empty).count() == 0 and secrets.redact_secrets(empty).count() == 0
+
+
+def test_many_matches_in_one_text(shipped):
+    """200,000 matches in one text take time in proportion, in the report and in the redaction."""
+    import time
+    text = "é deadbeefdeadbeef" * 200_000
+    df = shipped.createDataFrame([(1, text), (2, text[:36])], "doc_id long, text string")
+    start = time.monotonic()
+    got = {r.doc_id: r for r in secrets.secret_report(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert time.monotonic() - start < 90
+    assert got[1].n_hex == 200_000 and got[1].spans == show(expected(text)) and got[2].n_hex == 2
+    assert clean[1] == ("é " + secrets.REDACTED) * 200_000 and clean[2] == ("é " + secrets.REDACTED) * 2
