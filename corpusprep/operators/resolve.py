@@ -103,7 +103,7 @@ def resolve_keys(samples: DataFrame, store: DataFrame, allowed: DataFrame | None
     return resolve_triples(distinct_triples(samples), store, allowed)
 
 
-def _attach(samples: DataFrame, res: DataFrame, triples: DataFrame, how: str) -> DataFrame:
+def attach(samples: DataFrame, res: DataFrame, triples: DataFrame, how: str = "left") -> DataFrame:
     """Join a key-level table back to the samples (copies included); hot keys
     are counted over *all* triples, so copies without a match spread too."""
     r = res.select(*[F.col(c).alias(f"_r_{c}") for c in TRIPLE],
@@ -127,7 +127,7 @@ def object_exists(samples: DataFrame, store: DataFrame) -> DataFrame:
     """Samples plus ``exists`` - is any candidate in the store."""
     trip = distinct_triples(samples)
     res = materialize(resolve_triples(trip, store), "resolved")
-    return _attach(samples, res, trip, "left").withColumn("exists", F.col("hit_ord").isNotNull()) \
+    return attach(samples, res, trip, "left").withColumn("exists", F.col("hit_ord").isNotNull()) \
         .drop("canonical", "object_key", "hit_ord")
 
 
@@ -140,20 +140,20 @@ def resolve_objects(samples: DataFrame, store: DataFrame, data_col: str = "data"
     """
     trip = distinct_triples(samples)
     res = materialize(resolve_triples(trip, store, allowed), "resolved")
-    out = _attach(samples, res, trip, "left").withColumn("found", F.col("hit_ord").isNotNull())
+    out = attach(samples, res, trip, "left").withColumn("found", F.col("hit_ord").isNotNull())
     return _attach_bytes(out, res, store, data_col)
 
 
-def fetch_objects(resolution: DataFrame, store: DataFrame, data_col: str = "data") -> DataFrame:
+def fetch_objects(resolution: DataFrame, store: DataFrame, data_col: str = "data", empty: bool = False) -> DataFrame:
     """``(shard, object_key, data)`` of every resolved object, once, for the
     blob sinks: the paths are made distinct before the bytes are joined, so
     bytes cross one exchange and no aggregate. Empty objects are left out (an
-    empty payload is a failure, as in the studied tool)."""
+    empty payload is a failure, as in the studied tool), unless ``empty``."""
     objects = materialize(resolution.where("hit_ord is not null")
                           .select(K.derive_shard("key").alias("shard"), "object_key").distinct(), "objects")
     payload = store.select(F.col("object_key").alias("_pk"), F.col(data_col))
     return objects.join(payload, F.col("object_key") == F.col("_pk")) \
-        .where(F.length(data_col) > 0).select("shard", "object_key", data_col)
+        .where(F.lit(True) if empty else F.length(data_col) > 0).select("shard", "object_key", data_col)
 
 
 def split_success_failure(resolved: DataFrame, data_col: str = "data") -> DataFrame:
@@ -200,7 +200,7 @@ def find_missing(samples: DataFrame, archive: DataFrame, store: DataFrame,
     returns the answer to every sample.
     """
     trip = distinct_triples(samples)
-    return _attach(samples, _missing_triples(trip, archive, store, name_col).select(*TRIPLE), trip, "left_semi")
+    return attach(samples, _missing_triples(trip, archive, store, name_col).select(*TRIPLE), trip, "left_semi")
 
 
 def shards_with_archive(samples: DataFrame, archive: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def audit_shards(samples: DataFrame, archive: DataFrame, store: DataFrame, data_
     audited = _audited(samples, archive, shards, kinds, predicate)
     trip = distinct_triples(audited)
     res = materialize(resolve_triples(_missing_triples(trip, archive, store, "name"), store), "resolved")
-    out = _attach(audited, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
+    out = attach(audited, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
     return _attach_bytes(out, res, store, data_col).where(F.col("found") & (F.length(F.col(data_col)) > 0))
 
 
@@ -296,7 +296,7 @@ def repair_candidates(samples: DataFrame, store: DataFrame, errors: DataFrame,
     """Retry only samples with a candidate named in the error set; among
     those candidates the first that exists wins, else (canonical, null)."""
     trip, res = _retried(samples, store, errors)
-    out = _attach(samples, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
+    out = attach(samples, res, trip, "inner").withColumn("found", F.col("hit_ord").isNotNull())
     return _attach_bytes(out, res, store, data_col)
 
 

@@ -25,8 +25,7 @@ from corpusprep.sources import tables as TB
 
 FETCH_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()), T.StructField("object_key", T.StringType()),
-    T.StructField("data", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("shard", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("shard", T.StringType()),
 ])
 BLOB_SCHEMA = "object_key string, data {data}, shard string"
 LOG_SCHEMA = "object_key string, shard string"
@@ -59,20 +58,47 @@ def job_fetch(spark: SparkSession, samples: DataFrame, store: DataFrame, out: st
               shards: list[str] | None = None, data_col: str = "data") -> DataFrame:
     """Work list -> metadata -> resolve -> stored / error halves -> ledger.
 
-    One pass writes ``out/fetched`` partitioned by ``shard``, with ``status``
-    (K3 = ``stored``, K4 = ``error``) as a column: a shard fetched again
-    replaces all of its rows, so no key is ever in two states. Then the
-    ledger. Returns the work list that was processed.
+    ``out/blobs`` gets each resolved object once, however many samples name
+    it, with the store's own payload type and its ``size``; an empty object is
+    kept as a row of size 0. ``out/fetched`` gets a row per sample with
+    ``status`` (K3 = ``stored``, K4 = ``error``) as a column. Both are partitioned
+    by ``shard``, and a shard fetched again replaces its rows, so no key
+    is ever in two states. Then the ledger. Returns the work list that was
+    processed.
     """
     finished = SH.read_ledger(spark, f"{out}/ledger")
     work = materialize(SH.select_shards(SH.present_shards(samples), finished, start, end, shards), "work")
     meta = _work_meta(samples, work, kinds, predicate)
-    res = R.split_success_failure(R.resolve_objects(meta, store.select("object_key", data_col), data_col))
-    W.write_parquet_by_shard(res.select("key", "object_key", F.col(data_col).alias("data"), "status", "shard"), f"{out}/fetched")
+    store = store.select("object_key", data_col)
+    triples = R.distinct_triples(meta)
+    res = materialize(R.resolve_triples(triples, store), "resolved")
+    blobs = R.fetch_objects(res, store, data_col, empty=True) \
+        .select("shard", "object_key", F.col(data_col).alias("data"), F.coalesce(F.octet_length(data_col), F.lit(0)).alias("size"))
+    W.write_parquet_by_shard(blobs, f"{out}/blobs")
+    # a shard without any hit now may hold blobs of an earlier fetch: only hits of this one count
+    full = _sizes(spark, out).where("size > 0").select("object_key").distinct().withColumn("_full", F.lit(True))
+    state = res.join(full, "object_key", "left").withColumn(
+        "status", F.when(F.col("hit_ord").isNotNull() & F.col("_full"), F.lit("stored")).otherwise(F.lit("error"))).drop("_full", "hit_ord", "canonical")
+    rows = R.attach(meta, state, triples)
+    W.write_parquet_by_shard(rows.select("key", "object_key", "status", "shard"), f"{out}/fetched")
     W.ledger_append(work, f"{out}/ledger")
     return work
 
 
+def _sizes(spark: SparkSession, out: str) -> DataFrame:
+    """Names and sizes of the stored objects; a fetch without any hit writes none."""
+    schema = "object_key string, size int, shard string"
+    return spark.read.schema(schema).parquet(f"{out}/blobs") if TB.path_exists(spark, f"{out}/blobs") else spark.createDataFrame([], schema)
+
+
+def read_blobs(spark: SparkSession, out: str) -> DataFrame:
+    """``(shard, object_key, data)`` of the objects that some fetched sample has, each once."""
+    fetched = read_fetched(spark, out).where("status = 'stored'").select("object_key").distinct()
+    kind = spark.read.parquet(f"{out}/blobs").schema["data"].dataType.simpleString()
+    stored = spark.read.schema(BLOB_SCHEMA.format(data=kind) + ", size int").parquet(f"{out}/blobs").where("size > 0")
+    return stored.join(fetched, "object_key", "left_semi").select("shard", "object_key", "data")
+
+
 def read_fetched(spark: SparkSession, out: str) -> DataFrame:
     if not TB.path_exists(spark, f"{out}/fetched"):
         return spark.createDataFrame([], FETCH_SCHEMA)

@@ -42,6 +42,22 @@ def test_explicit_shards_rerun_is_idempotent(spark, tmp_dir):
     assert _fetched(spark, tmp_dir) == before
 
 
+def test_fetch_stores_a_binary_object_once(spark, tmp_dir):
+    _, s, store = _inputs(spark)
+    raw = store.withColumn("data", F.unhex(F.lit("FF00D8FE")))
+    J.job_fetch(spark, s.union(s).union(s), raw, tmp_dir)      # every sample three times
+    blobs = J.read_blobs(spark, tmp_dir)
+    assert dict(blobs.dtypes)["data"] == "binary"
+    rows = blobs.collect()
+    assert rows and len({r.object_key for r in rows}) == len(rows) and {bytes(r.data) for r in rows} == {b"\xff\x00\xd8\xfe"}
+    fetched = J.read_fetched(spark, tmp_dir)
+    assert fetched.count() == 3 * s.count()
+    assert {r.object_key for r in rows} == {r.object_key for r in fetched.where("status = 'stored'").collect()}
+    # fetched again from a store of empty objects: nothing counts as stored
+    J.job_fetch(spark, s, raw.withColumn("data", F.unhex(F.lit(""))), tmp_dir, shards=[r.shard for r in s.select("shard").distinct().collect()])
+    assert J.read_blobs(spark, tmp_dir).count() == 0 and {r[0] for r in _fetched(spark, tmp_dir)} == {"error"}
+
+
 def test_refetch_with_another_store_leaves_one_state_per_key(spark, tmp_dir):
     _, s, store = _inputs(spark)
     J.job_fetch(spark, s, store.where("false"), tmp_dir)          # nothing stored yet: all errors
