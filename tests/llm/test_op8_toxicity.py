@@ -65,9 +65,7 @@ def test_labels_dealt_at_random_leave_few_weights():
     rows = [np.unique(rng.integers(0, 5000, 40)) for _ in range(1500)]
     y = (rng.random(1500) < 0.3).astype(float)
     _, w, v = toxicity._fit(rows, y, 5000)
-    m = toxicity.Machine(np.arange(5000), 0.0, w, v)
-    z = [m.score(np.unique(rng.integers(0, 5000, 40))) for _ in range(300)]
-    assert (w != 0).mean() < 0.05 and np.abs(np.array(z) - 0.5).mean() < 0.05
+    assert (w != 0).mean() < 0.05 and np.abs(v).max() < 0.01
 
 
 def test_held_out_quality_on_documents(spark):
