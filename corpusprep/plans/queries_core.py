@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import keys as K
 from corpusprep.functions import policy as P
+from corpusprep.operators import bucketed as B
 from corpusprep.operators import media as M
 from corpusprep.operators import resolve as R
 from corpusprep.operators import samples as S
@@ -14,6 +15,7 @@ from corpusprep.operators import shards as SH
 from corpusprep.operators.windows import row_number_within
 from corpusprep.plans import fixtures as FX
 from corpusprep.plans.catalog import register
+from corpusprep.sinks.writers import scratch_path
 from corpusprep.sources import tables as TB
 
 DOMAIN_SQL = "(SELECT lpad(lower(hex(i)), 3, '0') AS shard FROM range(4096) t(i))"
@@ -282,6 +284,49 @@ def q_error_stats(spark, sf):
     return R.error_stats(FX.err_log(pages), FX.archive(pages))
 
 
+# the same joins over tables written once, bucketed by key (repeated audits)
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@register("audit_bucketed", ["missing", "resolved", "archive"], """
+SELECT DISTINCT r.shard, r.object_key, r.data FROM resolved r
+JOIN missing m ON m.page_id = r.page_id
+WHERE r.shard IN (SELECT shard FROM archive) AND r.found AND length(r.data) > 0""")
+def q_audit_bucketed(spark, sf):
+    pages, n = _pages(spark, sf), _buckets(spark)
+    meta = B.write_metadata(_resolve_input(spark, sf), scratch_path(spark, "b-meta"), n)
+    members = B.write_members(FX.archive(pages), scratch_path(spark, "b-members"), n)
+    store = B.write_store(FX.store(pages), scratch_path(spark, "b-store"), n)
+    return B.fetch_bucketed(B.missing_bucketed(meta, members, store), store)
+
+
+@register("resolve_bucketed", ["resolved", "samples"], """
+SELECT r.key, s.marker, s.ext, count(*) AS n, r.object_key, r.found
+FROM resolved r JOIN samples s ON s.page_id = r.page_id GROUP BY ALL""")
+def q_resolve_bucketed(spark, sf):
+    n = _buckets(spark)
+    meta = B.write_metadata(_resolve_input(spark, sf), scratch_path(spark, "b-meta"), n)
+    return B.resolve_bucketed(meta, B.write_store(FX.store(_pages(spark, sf)), scratch_path(spark, "b-store"), n))
+
+
+@register("errors_bucketed", ["errkeys"], "SELECT shard, object_key FROM errkeys")
+def q_errors_bucketed(spark, sf):
+    pages = _pages(spark, sf)
+    members = B.write_members(FX.archive(pages), scratch_path(spark, "b-members"), _buckets(spark))
+    return B.errors_bucketed(FX.err_log(pages), members)
+
+
+@register("join_bucketed", ["samples", "members", "first_members"], """
+SELECT s.page_id, s.key, m.name AS member, m.data
+FROM samples s JOIN first_members f ON f.shard = s.shard AND f.key = s.key
+JOIN members m ON m.shard = f.shard AND m.key = f.key AND m.ord = f.f.o AND m.name = f.f.n""")
+def q_join_bucketed(spark, sf):
+    meta = _samples(spark, sf).select("page_id", "key", "shard", "marker", F.col("page_id").alias("src_order"))
+    first, hot = B.write_first_members(FX.archive(_pages(spark, sf)), scratch_path(spark, "b-first"), _buckets(spark))
+    return B.join_first_members(meta, first, hot).select("page_id", "key", "member", "data")
+
+
 @register("repair_candidates", ["repaired"], "SELECT page_id, object_key, found FROM repaired")
 def q_repair_candidates(spark, sf):
     pages = _pages(spark, sf)
