@@ -24,6 +24,7 @@ from corpusprep.plans.queries_media import SCORER_IN, SCORER_OUT, scored
 from corpusprep.sinks import writers as W
 from corpusprep.sources import archive_source as ARS
 from corpusprep.sources import archives as AR
+from corpusprep.sources import feature_files as FF
 from corpusprep.sources import images as IM
 from corpusprep.sources import tables as TB
 from corpusprep.streaming import incremental as INC
@@ -265,6 +266,18 @@ def q_resume_features(spark, sf):
     return TB.scan_feature_keys(spark, out).groupBy("key").agg(F.count(F.lit(1)).alias("n_copies"))
 
 
+@register("resume_clustered", ["vectors"], """
+SELECT substr(key, 1, 1) AS digit, count(*) AS n_pending FROM vectors
+WHERE embedding IS NOT NULL AND NOT already_done GROUP BY 1""")
+def q_resume_clustered(spark, sf):
+    out = W.scratch_path(spark, "s12c")
+    v = _vectors(spark, sf)
+    FF.write_clustered(FE.extract_embeddings(v.where("already_done"), None, _scorer(), SCORER_IN), out)
+    todo = FE.drop_undecodable(v)
+    pending = FE.pending_features(todo, FF.stored_keys_near(todo, out))
+    return pending.groupBy(F.substring("key", 1, 1).alias("digit")).agg(F.count(F.lit(1)).alias("n_pending"))
+
+
 @register("write_decode_errors", ["vectors"], """
 SELECT key, concat('vec/', CAST(vec_id AS VARCHAR)) AS path FROM vectors WHERE embedding IS NULL""")
 def q_write_decode_errors(spark, sf):
