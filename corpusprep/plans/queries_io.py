@@ -21,6 +21,7 @@ from corpusprep.plans import fixtures as FX
 from corpusprep.plans import jobs as J
 from corpusprep.plans.catalog import register
 from corpusprep.plans.queries_media import SCORER_IN, SCORER_OUT, scored
+from corpusprep.sinks import published as PB
 from corpusprep.sinks import writers as W
 from corpusprep.sources import archive_source as ARS
 from corpusprep.sources import archives as AR
@@ -218,6 +219,16 @@ def q_rewrite_error_log(spark, sf):
     return spark.read.schema(KEY_SCHEMA).parquet(v2).select("shard", "object_key")
 
 
+@register("publish_error_log", ["errkeys"], "SELECT shard, object_key FROM errkeys")
+def q_publish_error_log(spark, sf):
+    pages, log = _pages(spark, sf), W.scratch_path(spark, "k11p")
+    lines = R.scan_error_lines(FX.err_log(pages))
+    PB.rewrite_published(lines, log, 0)
+    logged = PB.read_published(spark, log).withColumnRenamed("object_key", "line")
+    PB.rewrite_published(R.error_keys(logged, FX.archive(pages)), log, 1)
+    return PB.read_published(spark, log).select("shard", "object_key")
+
+
 @register("dataset_manifest", ["samples"], """
 SELECT DISTINCT substr(shard, 1, 2) AS prefix,
   concat('{"title":"corpus-', substr(shard, 1, 2), '","id":"owner/corpus-', substr(shard, 1, 2),
