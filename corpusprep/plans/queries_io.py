@@ -16,6 +16,7 @@ from corpusprep.operators import media as M
 from corpusprep.operators import resolve as R
 from corpusprep.operators import samples as S
 from corpusprep.operators import shards as SH
+from corpusprep.operators.skew import materialize
 from corpusprep.plans import fixture_files as FL
 from corpusprep.plans import fixtures as FX
 from corpusprep.plans import jobs as J
@@ -383,7 +384,7 @@ def q_extract_embeddings(spark, sf):
     twice, undecodable and stored ones are skipped."""
     files, out = W.scratch_path(spark, "f4-img"), W.scratch_path(spark, "f4-out")
     emb = _write_images(spark, sf, files)
-    img = IM.scan_images(spark, files)
+    img = materialize(IM.scan_images(spark, files), "images")  # decoded once, although every row comes twice
     stored = emb.where("vec_id % 3 = 0").select(F.col("vec_id").cast("string").alias("key"))
     W.write_features(FE.embed_images(img.unionByName(img), stored, _scorer(), SCORER_IN), out)
     back = spark.read.schema("key string, feature array<float>").parquet(out)

@@ -3,7 +3,9 @@ import numpy as np
 from corpusprep.operators import features as FE
 from corpusprep.operators import media as M
 from corpusprep.functions import policy as P
+from corpusprep.plans import fixture_files as FL
 from corpusprep.plans import fixtures as FX
+from corpusprep.sources import images as IM
 from corpusprep.streaming import incremental as INC
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +76,45 @@ def test_one_vector_per_key_and_pending_keys(spark):
     assert sorted(r.key for r in out) == [f"k{i}" for i in (0, 2, 3, 4, 5, 6, 7, 8, 9)]
 
 
+def test_one_per_key_reads_its_input_once_and_keeps_the_smallest_hash(spark):
+    rows = [(None if i % 11 == 0 else f"k{i % 11}", [float(i % 5)] * 4) for i in range(500)] + [("hot", [1.0] * 4)] * 500
+    df = spark.createDataFrame(rows, "key string, embedding array<float>").repartition(7)
+    read = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    out = FE.one_per_key(df.mapInArrow(watch, df.schema))
+    assert out.columns == df.columns
+    found = out.collect()
+    got = {r.key: list(r.embedding) for r in found}
+    first = {}
+    for r in df.selectExpr("key", "embedding", "xxhash64(key, embedding) AS h").orderBy("h").collect():
+        first.setdefault(r.key, list(r.embedding))
+    assert got == first and len(found) == 12
+    assert read.value == 1000
+
+
+def test_embed_images_decodes_every_image_once(spark, tmp_dir):
+    rows = [(f"i{i}", None if i % 10 == 0 else [i] * 64) for i in range(40)]
+    FL.write_gray_images(spark.createDataFrame(rows, "name string, px array<int>"), f"{tmp_dir}/img", "name", "px", 8, 8).collect()
+    images, decoded = IM.scan_images(spark, f"{tmp_dir}/img"), spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            decoded.add(b.num_rows)
+            yield b
+    stored = spark.createDataFrame([("i1",), ("i2",)], "key string")
+    out = FE.embed_images(images.mapInArrow(watch, images.schema), stored, FE.integer_scorer(64, 4), 64).collect()
+    assert sorted(r.key for r in out) == sorted(n for n, px in rows if px is not None and n not in ("i1", "i2"))
+    w = np.array([[(i * 7 + j * 13) % 5 - 2 for i in range(64)] for j in range(4)], dtype=np.float64)
+    for r in out:
+        x = np.floor(np.full(64, (int(r.key[1:]) / 255.0 - 0.5) / 0.5) * 1000)
+        assert list(r.feature) == list((x @ w.T).astype(np.float32))
+    assert decoded.value == 40
+
+
 def test_resize_half_even(spark):
     df = spark.createDataFrame([(1000, 501), (4, 4), (1001, 1000)], "w long, h long")
     got = [tuple(r[0]) for r in df.select(P.resize_policy("w", "h", 500)).collect()]

@@ -164,6 +164,20 @@ def test_image_scan_flags_junk(spark, tmp_dir):
     assert not rows["b"].valid
 
 
+def test_image_scan_reads_many_files_in_a_task(spark, tmp_dir):
+    df = spark.createDataFrame([(f"i{i}", [i % 256] * 64) for i in range(300)], "name string, px array<int>")
+    FL.write_gray_images(df, f"{tmp_dir}/img", "name", "px", 8, 8).collect()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # one file a split
+    try:
+        img = IM.scan_images(spark, f"{tmp_dir}/img")
+        tasks = max(8, 2 * spark.sparkContext.defaultParallelism)
+        assert img.rdd.getNumPartitions() <= tasks < 300
+        assert {r.key: r.data[0] for r in img.collect()} == {f"i{i}": i % 256 for i in range(300)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_checksums(spark, tmp_dir):
     p = f"{tmp_dir}/f.bin"
     with open(p, "wb") as fh:
